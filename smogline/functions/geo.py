@@ -25,8 +25,9 @@ def haversine_km(lat1, lon1, lat2, lon2, radius: float = EARTH_RADIUS_KM) -> Col
 
 
 def round_coord(degrees, places: int = 4) -> Column:
-    """Half-even, so 41.87125 becomes 41.8712."""
-    return F.bround(degrees, places)
+    """Half-even on the scaled number, so 41.87125 becomes 41.8712."""
+    scale = F.lit(10.0 ** places)
+    return F.rint(_col(degrees) * scale) / scale
 
 
 def sensor_key(columns=SENSOR) -> Column:

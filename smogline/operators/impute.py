@@ -68,7 +68,10 @@ def _follow_tables(linked: DataFrame, keys) -> DataFrame:
     ``_outcome`` bit s: is the gap filled when the segment starts in state s;
     ``_after`` holds, two bits each, the state reached from every start.
     """
-    schema = T.StructType([*linked.schema.fields, T.StructField("_outcome", T.IntegerType()),
+    # Grouped maps cannot take column names with dots.
+    safe = {c: f"c{i}" for i, c in enumerate(linked.columns) if "." in c}
+    plain = linked.withColumnsRenamed(safe)
+    schema = T.StructType([*plain.schema.fields, T.StructField("_outcome", T.IntegerType()),
                            T.StructField("_after", T.IntegerType())])
 
     def walk(table):
@@ -84,7 +87,8 @@ def _follow_tables(linked: DataFrame, keys) -> DataFrame:
         return (table.append_column("_outcome", pa.array(outcomes, pa.int32()))
                 .append_column("_after", pa.array(afters, pa.int32())))
 
-    return linked.groupBy(*keys, "_seg").applyInArrow(walk, schema)
+    return plain.groupBy(*keys, "_seg").applyInArrow(walk, schema).withColumnsRenamed(
+        {v: k for k, v in safe.items()})
 
 
 def _segment_starts(walked: DataFrame, keys) -> DataFrame:

@@ -63,9 +63,12 @@ def read_report_parts(spark: SparkSession, paths, schema: T.StructType | None =
     return whole
 
 
-def read_measurements_long(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
-    """Data rows and location rows of JSON responses; no ``locations`` means no rows there."""
-    response = spark.read.schema(LONG_RESPONSE).option("multiLine", True).json(path)
+def read_measurements_long(spark: SparkSession, path, one_per_file: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Data rows and location rows of JSON responses; no ``locations`` means no rows there.
+
+    A file is one response, or has one response per line.
+    """
+    response = spark.read.schema(LONG_RESPONSE).option("multiLine", one_per_file).json(path)
     data = response.select(F.inline("data"))
     data = data.select(*[
         nan_to_null(c).alias(c) if isinstance(LONG_ROW[c].dataType, T.DoubleType) else F.col(c)
