@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from smogline.functions.geo import geocode
 from smogline.functions.values import quoted
-from smogline.operators.dataset import first_per_key
 from smogline.operators.joins import lookup_join
 
 PRIORITIES = range(1, 6)
@@ -29,29 +28,27 @@ FILLED = {
 
 
 def first_poles(poles: DataFrame, priorities=PRIORITIES, order_col: str = "_ord") -> DataFrame:
-    """The first pole of every site key and priority, by the explicit order column."""
-    keys = [*SITE_KEYS.values(), "Candidate"]
-    wanted = poles.filter(F.col("Candidate").isin(*priorities))
-    return first_per_key(wanted.select(*keys, "FEATURE_ID", "Address", "Latitude", "Longitude", order_col),
-                         keys, [order_col])
+    """Per site key, the first pole of every priority by the explicit order column.
+
+    The least (order, pole) pair is a map-side aggregate: one shuffle of one partial row
+    per site key and task, however many poles a key has.
+    """
+    pole = F.struct(F.col(order_col).alias("ord"), F.col("FEATURE_ID").alias("id"),
+                    geocode("Latitude", "Longitude").alias("geocode"), F.col("Address").alias("address"))
+    return (poles.filter(F.col("Candidate").isin(*priorities)).groupBy(*SITE_KEYS.values())
+            .agg(*[F.min(F.when(F.col("Candidate") == p, pole)).alias(f"_p{p}") for p in priorities]))
 
 
 def fill_candidates(sites: DataFrame, poles: DataFrame, priorities=PRIORITIES, order_col: str = "_ord") -> DataFrame:
     """Add id, geocode and address of the first matching pole for each priority.
 
     Poles are brought to one row per site key before the join, so the join adds columns
-    and no rows. Sites sharing one key are spread by ``lookup_join``.
+    and no rows.
     """
     filled = [c.format(p) for p in priorities for c in FILLED.values()]
-    pole = F.struct(F.col("FEATURE_ID").alias("id"), geocode("Latitude", "Longitude").alias("geocode"),
-                    F.col("Address").alias("address"))
-    wide = (first_poles(poles, priorities, order_col).withColumn("_pole", pole)
-            .groupBy(*SITE_KEYS.values())
-            .agg(*[F.any_value(F.when(F.col("Candidate") == p, F.col("_pole")), F.lit(True)).alias(f"_p{p}")
-                   for p in priorities])
-            .select(*[F.col(p).alias(s) for s, p in SITE_KEYS.items()],
-                    *[F.col(f"_p{p}.{part}").alias(name.format(p))
-                      for p in priorities for part, name in FILLED.items()]))
+    wide = first_poles(poles, priorities, order_col).select(
+        *[F.col(p).alias(s) for s, p in SITE_KEYS.items()],
+        *[F.col(f"_p{p}.{part}").alias(name.format(p)) for p in priorities for part, name in FILLED.items()])
     columns = [c for c in sites.columns if c not in filled]
     return lookup_join(sites.select(*[quoted(c) for c in columns]), wide, list(SITE_KEYS), "left").select(
         *[quoted(c) for c in [*columns, *filled]])

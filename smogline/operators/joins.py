@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
+HOT_ROWS = 1_000_000
 
 
 def salt_of(df: DataFrame, salts: int = SALTS) -> Column:
@@ -20,16 +21,24 @@ def all_salts(salts: int = SALTS) -> Column:
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
-                salts: int = SALTS) -> DataFrame:
-    """Join many rows to a dimension with few rows per key.
-
-    No broadcast hint: Spark broadcasts ``right`` when its measured size is below the
-    configured threshold. Beyond it, the rows of a hot key are spread over ``salts``
-    tasks, and only the dimension is repeated.
+                hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+    """Join rows of any distribution to a side with few rows per key.
+
+    Keys with more than ``hot_rows`` rows on the left are spread over ``salts`` tasks, and
+    only their rows on the right are repeated. The list of hot keys is broadcast; it cannot
+    have more than one key per ``hot_rows`` rows. Rows without a key match nothing and are
+    spread as well. Neither side itself gets a broadcast hint: Spark broadcasts the right
+    one when its measured size is small.
     """
-    return (left.withColumn("_salt", salt_of(left, salts))
-            .join(right.withColumn("_salt", all_salts(salts)), [*on, "_salt"], how)
-            .drop("_salt"))
+    hot = F.broadcast(left.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+                      .select(*on, F.lit(True).alias("_hot")))
+    keyless = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in on])
+    spread = F.coalesce(F.col("_hot"), F.lit(False)) | keyless
+    salted = left.withColumn("_all", salt_of(left, salts)).join(hot, on, "left").withColumn(
+        "_salt", F.when(spread, F.col("_all")).otherwise(0)).drop("_all", "_hot")
+    repeated = right.join(hot, on, "left").withColumn("_salt", F.explode(
+        F.when(F.col("_hot"), F.array(*[F.lit(i) for i in range(salts)])).otherwise(F.array(F.lit(0))))).drop("_hot")
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,9 +15,10 @@ from smogline.schema import SENSOR
 from smogline.session import cut
 
 AXES = ("x", "y", "z")
-FINEST = 20
+FINEST = 21
+FIRST_LEVEL = 3
 LEVEL_STEP = 2
-LEAF_ROWS = 256
+LEAF_ROWS = 512
 
 
 def distinct_sensors(df: DataFrame, keys=SENSOR, lat: str = "locationLatitude",
@@ -50,23 +52,37 @@ def _places(sensors: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     return one, kept
 
 
-def _on_grid(kept: DataFrame) -> tuple[DataFrame, float]:
-    """Integer cells of the finest grid over the cube around all places.
+def _on_grid(kept: DataFrame) -> tuple[DataFrame, dict[str, float]]:
+    """Places in space, their cells in the finest grid, and the extent along each axis.
 
     Places are points of the unit sphere; straight-line distance there grows with the
-    great-circle distance, and there is no seam at the date line or the poles.
+    great-circle distance, and there is no seam at the date line or the poles. The axes
+    are turned so that the third points to the middle of all places: for a network of one
+    city or country the grid is then nearly flat.
     """
     lat, lon = F.radians("lat"), F.radians("lon")
-    points = kept.select("*", (F.cos(lat) * F.cos(lon)).alias("x"),
-                         (F.cos(lat) * F.sin(lon)).alias("y"), F.sin(lat).alias("z"))
+    # Written once: the cells below must all be computed from the very same coordinates.
+    ball = cut(kept.select("*", (F.cos(lat) * F.cos(lon)).alias("bx"), (F.cos(lat) * F.sin(lon)).alias("by"),
+                           F.sin(lat).alias("bz")))
+    middle = ball.agg(*[F.avg(f"b{a}").alias(a) for a in AXES]).first()
+    if middle["x"] is None:
+        middle = {"x": 0.0, "y": 0.0, "z": 1.0}
+    size = math.sqrt(sum(middle[a] ** 2 for a in AXES))
+    up = [middle[a] / size for a in AXES] if size > 1e-6 else [0.0, 0.0, 1.0]
+    flat = math.hypot(up[0], up[1])
+    east = [-up[1] / flat, up[0] / flat, 0.0] if flat > 1e-9 else [1.0, 0.0, 0.0]
+    north = [up[1] * east[2] - up[2] * east[1], up[2] * east[0] - up[0] * east[2], up[0] * east[1] - up[1] * east[0]]
+    points = ball.select(*kept.columns, *[
+        sum((F.col(f"b{b}") * w for b, w in zip(AXES, direction)), F.lit(0.0)).alias(a)
+        for a, direction in zip(AXES, (east, north, up))])
     box = points.agg(*[f(a).alias(f"{n}_{a}") for a in AXES for n, f in (("lo", F.min), ("hi", F.max))]).first()
-    if box["lo_x"] is None:
-        return points.select("*", *[F.lit(0).alias(f"f{a}") for a in AXES]), 1.0
-    width = max(max(box[f"hi_{a}"] - box[f"lo_{a}"] for a in AXES), 1e-9) * (1 + 1e-9)
+    low = {a: box[f"lo_{a}"] or 0.0 for a in AXES}
+    extent = {a: (box[f"hi_{a}"] or 0.0) - low[a] for a in AXES}
+    width = max(*extent.values(), 1e-9) * (1 + 1e-9)
     top = (1 << FINEST) - 1
-    cells = [F.least(F.floor((F.col(a) - box[f"lo_{a}"]) / width * (1 << FINEST)), F.lit(top))
+    cells = [F.greatest(F.least(F.floor((F.col(a) - low[a]) / width * (1 << FINEST)), F.lit(top)), F.lit(0))
              .cast("int").alias(f"f{a}") for a in AXES]
-    return points.select("*", *cells), width
+    return points.select("*", *cells), {**extent, "width": width}
 
 
 def nearest_neighbors(sensors: DataFrame, k: int = 3, leaf_rows: int = LEAF_ROWS) -> DataFrame:
@@ -80,31 +96,31 @@ def nearest_neighbors(sensors: DataFrame, k: int = 3, leaf_rows: int = LEAF_ROWS
     is met by finer cells, and sensors at one place are handled as one place.
     """
     one, kept = _places(sensors, k)
-    points, width = _on_grid(kept)
-    points = cut(points)
+    points, extent = _on_grid(kept)
     q, c = _names("q"), _names("c")
     root = ", ".join(f"{name} int" for name in [*q, *c])
     pairs = points.sparkSession.createDataFrame([(0,) * 6], root)
     found = []
-    # Cells of one level are the parents of the next; the first level has at most 4 x 4 x 4.
-    for level in range(LEVEL_STEP, FINEST + 1, LEVEL_STEP):
+    # Cells of one level are the parents of the next; the first level has 8 cells per axis.
+    for level in range(FIRST_LEVEL, FINEST + 1, LEVEL_STEP):
+        step = FIRST_LEVEL if level == FIRST_LEVEL else LEVEL_STEP
         cells = points.groupBy(*_cell("c", level)).agg(F.count("*").alias("n"))
         own = cells.select(*[F.col(f"c{a}").alias(f"q{a}") for a in AXES],
-                           *[F.shiftright(f"c{a}", LEVEL_STEP).alias(f"pq{a}") for a in AXES])
-        other = cells.select("*", *[F.shiftright(f"c{a}", LEVEL_STEP).alias(f"pc{a}") for a in AXES])
+                           *[F.shiftright(f"c{a}", step).alias(f"pq{a}") for a in AXES])
+        other = cells.select("*", *[F.shiftright(f"c{a}", step).alias(f"pc{a}") for a in AXES])
         pairs = (pairs.select(*[F.col(n).alias(f"p{n}") for n in [*q, *c]])
                  .join(own, _names("pq")).join(other, _names("pc")).select(*q, *c, "n"))
-        side = width / (1 << level)
-        apart = [F.abs(F.col(f"q{a}") - F.col(f"c{a}")).cast("double") for a in AXES]
-        low = reduce(lambda s, d: s + d * d, [F.greatest(d - 1, F.lit(0.0)) for d in apart]) * (side * side)
-        high = reduce(lambda s, d: s + d * d, [d + 1 for d in apart]) * (side * side)
+        side = extent["width"] / (1 << level)
+        apart = {a: F.abs(F.col(f"q{a}") - F.col(f"c{a}")).cast("double") for a in AXES}
+        low = sum((F.pow(F.greatest(d - 1, F.lit(0.0)) * side, 2) for d in apart.values()), F.lit(0.0))
+        high = sum((F.pow(F.least((d + 1) * side, F.lit(extent[a])), 2) for a, d in apart.items()), F.lit(0.0))
         partners = Window.partitionBy(*q)
         pairs = (pairs.withColumn("_low", low).withColumn("_high", high)
                  .withColumn("_cum", F.sum("n").over(partners.orderBy("_high")))
                  .withColumn("_reach", F.min(F.when(F.col("_cum") >= k + 1, F.col("_high"))).over(partners))
                  .filter(F.col("_reach").isNull() | (F.col("_low") <= F.col("_reach") * (1 + 1e-6)))
                  .withColumn("_rows", F.sum("n").over(partners))
-                 .select(*q, *c, "_rows"))
+                 .select(*q, *c, "_reach", "_rows"))
         pairs = cut(pairs)
         size = pairs.agg(F.min("_rows").alias("least"), F.max("_rows").alias("most")).first()
         last = level + LEVEL_STEP > FINEST or (size["most"] or 0) <= leaf_rows
@@ -125,10 +141,12 @@ def nearest_neighbors(sensors: DataFrame, k: int = 3, leaf_rows: int = LEAF_ROWS
 
 def _compare(points: DataFrame, pairs: DataFrame, level: int, k: int) -> DataFrame:
     """The ``k + 1`` nearest sensors of each place among the cells paired with its own."""
-    places = points.select("lat", "lon", *_cell("q", level)).distinct()
-    others = points.select(F.col("key").alias("key2"), F.col("lat").alias("lat2"),
-                           F.col("lon").alias("lon2"), *_cell("c", level))
+    places = points.select("lat", "lon", *AXES, *_cell("q", level)).distinct()
+    others = points.select(F.col("key").alias("key2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"),
+                           *[F.col(a).alias(f"{a}2") for a in AXES], *_cell("c", level))
+    chord = reduce(lambda s, d: s + d * d, [F.col(a) - F.col(f"{a}2") for a in AXES], F.lit(0.0))
     reached = (places.join(pairs, _names("q")).join(others, _names("c"))
+               .filter(F.col("_reach").isNull() | (chord <= F.col("_reach") * (1 + 1e-6)))
                .select("lat", "lon", "key2", haversine_km("lat", "lon", "lat2", "lon2").alias("dist_km")))
     rank = F.row_number().over(Window.partitionBy("lat", "lon").orderBy("dist_km", "key2"))
     return reached.withColumn("_rn", rank).filter(F.col("_rn") <= k + 1).drop("_rn")
