@@ -25,7 +25,8 @@ def haversine_km(lat1, lon1, lat2, lon2, radius: float = EARTH_RADIUS_KM) -> Col
 
 
 def round_coord(degrees, places: int = 4) -> Column:
-    """Half-even on the scaled number, so 41.87125 becomes 41.8712."""
+    """Half-even on the scaled binary number, as numpy rounds: 0.03125 becomes 0.0312, but
+    41.87125, which scales to slightly more than a half, becomes 41.8713."""
     scale = F.lit(10.0 ** places)
     return F.rint(_col(degrees) * scale) / scale
 
