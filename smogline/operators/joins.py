@@ -4,40 +4,42 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
 HOT_ROWS = 1_000_000
 
 
-def salt_of(df: DataFrame, salts: int = SALTS) -> Column:
-    """A salt that depends on the row's content only, so that a retried task repeats it."""
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
-
-
-def all_salts(salts: int = SALTS) -> Column:
-    return F.explode(F.array(*[F.lit(i) for i in range(salts)]))
-
-
-def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
-                hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
-    """Join rows of any distribution to a side with few rows per key.
+def salt_hot_keys(left: DataFrame, right: DataFrame, on: list[str], hot_rows: int = HOT_ROWS,
+                  salts: int = SALTS) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a ``_salt`` to join on together with ``on``.
 
     Keys with more than ``hot_rows`` rows on the left are spread over ``salts`` tasks, and
-    only their rows on the right are repeated. The list of hot keys is broadcast; it cannot
-    have more than one key per ``hot_rows`` rows. Rows without a key match nothing and are
-    spread as well. Neither side itself gets a broadcast hint: Spark broadcasts the right
-    one when its measured size is small.
+    only their rows on the right are repeated. The salt depends on the row's content, so a
+    retried task repeats it. The list of hot keys is broadcast; it cannot have more than
+    one key per ``hot_rows`` rows. Rows without a key match nothing and are spread as well.
     """
     hot = F.broadcast(left.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
                       .select(*on, F.lit(True).alias("_hot")))
     keyless = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in on])
     spread = F.coalesce(F.col("_hot"), F.lit(False)) | keyless
-    salted = left.withColumn("_all", salt_of(left, salts)).join(hot, on, "left").withColumn(
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
+    salted = left.withColumn("_all", salt).join(hot, on, "left").withColumn(
         "_salt", F.when(spread, F.col("_all")).otherwise(0)).drop("_all", "_hot")
     repeated = right.join(hot, on, "left").withColumn("_salt", F.explode(
         F.when(F.col("_hot"), F.array(*[F.lit(i) for i in range(salts)])).otherwise(F.array(F.lit(0))))).drop("_hot")
+    return salted, repeated
+
+
+def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
+                hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+    """Join rows of any distribution to a side with few rows per key.
+
+    Hot keys are salted. Neither side gets a broadcast hint: Spark broadcasts the right one
+    when its measured size is small.
+    """
+    salted, repeated = salt_hot_keys(left, right, on, hot_rows, salts)
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 

@@ -75,8 +75,9 @@ def place_rows(df: DataFrame, ts: str, keys=SENSOR, tie=(), segment_rows: int =
         placed = df.withColumn("_pos", number.cast("bigint") - 1).withColumn("_seg", F.lit(0).cast("bigint"))
         return Series(placed, ts, keys, None)
 
-    block = F.coalesce(F.floor(F.unix_micros(quoted(ts)) / (block_seconds * 1_000_000)),
-                       F.lit(2**62)).cast("bigint")
+    # Rows without a time come last in no particular order, so they may be spread freely.
+    timeless = F.lit(2**61) + F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(BLOCKS_PER_GROUP))
+    block = F.coalesce(F.floor(F.unix_micros(quoted(ts)) / (block_seconds * 1_000_000)), timeless).cast("bigint")
     rows = df.withColumn("_block", block)
     counts = (rows.groupBy(*keys, "_block").agg(F.count("*").alias("_n"))
               .withColumn("_group", F.floor(F.col("_block") / BLOCKS_PER_GROUP)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from smogline.functions.geo import haversine_km, sensor_key
 from smogline.functions.values import quoted
-from smogline.operators.joins import all_salts, lookup_join, salt_of
+from smogline.operators.joins import HOT_ROWS, lookup_join, salt_hot_keys
 from smogline.schema import SENSOR
 from smogline.session import cut
 
@@ -75,14 +75,15 @@ def _on_grid(kept: DataFrame) -> tuple[DataFrame, dict[str, float]]:
     points = ball.select(*kept.columns, *[
         sum((F.col(f"b{b}") * w for b, w in zip(AXES, direction)), F.lit(0.0)).alias(a)
         for a, direction in zip(AXES, (east, north, up))])
-    box = points.agg(*[f(a).alias(f"{n}_{a}") for a in AXES for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    box = points.agg(*[f(a).alias(f"{n}_{a}") for a in AXES for n, f in (("lo", F.min), ("hi", F.max))],
+                     F.count("*").alias("rows")).first()
     low = {a: box[f"lo_{a}"] or 0.0 for a in AXES}
     extent = {a: (box[f"hi_{a}"] or 0.0) - low[a] for a in AXES}
     width = max(*extent.values(), 1e-9) * (1 + 1e-9)
     top = (1 << FINEST) - 1
     cells = [F.greatest(F.least(F.floor((F.col(a) - low[a]) / width * (1 << FINEST)), F.lit(top)), F.lit(0))
              .cast("int").alias(f"f{a}") for a in AXES]
-    return points.select("*", *cells), {**extent, "width": width}
+    return points.select("*", *cells), {**extent, "width": width, "rows": box["rows"]}
 
 
 def nearest_neighbors(sensors: DataFrame, k: int = 3, leaf_rows: int = LEAF_ROWS) -> DataFrame:
@@ -101,6 +102,9 @@ def nearest_neighbors(sensors: DataFrame, k: int = 3, leaf_rows: int = LEAF_ROWS
     root = ", ".join(f"{name} int" for name in [*q, *c])
     pairs = points.sparkSession.createDataFrame([(0,) * 6], root)
     found = []
+    if extent["rows"] <= leaf_rows:
+        whole = pairs.withColumn("_reach", F.lit(None).cast("double"))
+        return _per_sensor(one, _compare(points, whole, 0, k), k)
     # Cells of one level are the parents of the next; the first level has 8 cells per axis.
     for level in range(FIRST_LEVEL, FINEST + 1, LEVEL_STEP):
         step = FIRST_LEVEL if level == FIRST_LEVEL else LEVEL_STEP
@@ -129,7 +133,11 @@ def nearest_neighbors(sensors: DataFrame, k: int = 3, leaf_rows: int = LEAF_ROWS
         if last:
             break
         pairs = pairs.filter(F.col("_rows") > leaf_rows)
-    near = reduce(DataFrame.unionByName, found)
+    return _per_sensor(one, reduce(DataFrame.unionByName, found), k)
+
+
+def _per_sensor(one: DataFrame, near: DataFrame, k: int) -> DataFrame:
+    """From the ``k + 1`` nearest of each place to the ``k`` nearest others of each sensor."""
     lists = near.groupBy("lat", "lon").agg(F.collect_list(F.struct("dist_km", "key2")).alias("near"))
     pairs = (lookup_join(one.withColumnRenamed("key", "key1"), lists, ["lat", "lon"], "inner")
              .select("key1", F.slice(F.array_sort(F.filter(
@@ -145,7 +153,10 @@ def _compare(points: DataFrame, pairs: DataFrame, level: int, k: int) -> DataFra
     others = points.select(F.col("key").alias("key2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"),
                            *[F.col(a).alias(f"{a}2") for a in AXES], *_cell("c", level))
     chord = reduce(lambda s, d: s + d * d, [F.col(a) - F.col(f"{a}2") for a in AXES], F.lit(0.0))
-    reached = (places.join(pairs, _names("q")).join(others, _names("c"))
+    # Each pair stands for many comparisons, more work than its bytes suggest: a given
+    # number of partitions keeps Spark from joining them into few tasks.
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    reached = (pairs.repartition(tasks, *_names("q")).join(places, _names("q")).join(others, _names("c"))
                .filter(F.col("_reach").isNull() | (chord <= F.col("_reach") * (1 + 1e-6)))
                .select("lat", "lon", "key2", haversine_km("lat", "lon", "lat2", "lon2").alias("dist_km")))
     rank = F.row_number().over(Window.partitionBy("lat", "lon").orderBy("dist_km", "key2"))
@@ -202,7 +213,8 @@ def _lies_on(e: Column, x: Column, y: Column) -> Column:
 
 
 def assign_regions(points: DataFrame, edges: DataFrame, columns: list[str],
-                   lon: str = "locationLongitude", lat: str = "locationLatitude") -> DataFrame:
+                   lon: str = "locationLongitude", lat: str = "locationLatitude",
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add the properties of the region holding each point.
 
     Points outside every region, or exactly on a border, keep nulls; a point in two
@@ -212,15 +224,15 @@ def assign_regions(points: DataFrame, edges: DataFrame, columns: list[str],
     """
     strips, tall, wide = region_cells(edges, columns)
     x, y = quoted(lon), quoted(lat)
-    placed = (points.withColumn("_salt", salt_of(points))
-              .withColumn("gx", F.floor(x / wide)).withColumn("gy", F.floor(y / tall)))
-    strips = strips.select(*[F.col(c).alias(f"_r_{c}") for c in columns], "_edges", "_xmin", "_xmax",
-                           F.col("gx").alias("_gx"), F.col("gy").alias("_gy"), all_salts().alias("_rsalt"))
+    placed = points.withColumn("gx", F.floor(x / wide)).withColumn("gy", F.floor(y / tall))
+    strips = strips.select(*[F.col(c).alias(f"_r_{c}") for c in columns], "_edges", "_xmin", "_xmax", "gx", "gy")
+    placed, strips = salt_hot_keys(placed, strips, ["gx", "gy"], hot_rows)
+    strips = strips.withColumnsRenamed({c: f"_s_{c}" for c in ("gx", "gy", "_salt")})
     inside = (F.size(F.filter("_edges", lambda e: _meets_ray(e, x, y))) % 2 == 1) \
         & ~F.exists("_edges", lambda e: _lies_on(e, x, y))
     joined = placed.join(
-        strips, (F.col("gx") == F.col("_gx")) & (F.col("gy") == F.col("_gy"))
-        & (F.col("_salt") == F.col("_rsalt"))
+        strips, (F.col("gx") == F.col("_s_gx")) & (F.col("gy") == F.col("_s_gy"))
+        & (F.col("_salt") == F.col("_s__salt"))
         & x.between(F.col("_xmin"), F.col("_xmax")) & inside, "left")
     return joined.select(*[quoted(c) for c in points.columns],
                          *[F.col(f"_r_{c}").alias(c) for c in columns])

@@ -13,6 +13,7 @@ from smogline.operators.quality import drop_invalid_qc, filter_ranges, metric_as
 from smogline.operators.rollup import rollup_all
 from smogline.operators.series import drop_flatline
 from smogline.schema import HUMIDITY_RAW, PLAUSIBLE, PM25_CALIBRATED, PM25_RAW, MetricSpec
+from smogline.session import cut
 
 Cleaner = Callable[[DataFrame, MetricSpec], DataFrame]
 CLEANERS: dict[str, Cleaner] = {}
@@ -37,7 +38,8 @@ def prepare_minute_pm25(df: DataFrame, segment_rows: int | None = None) -> DataF
     plausible = filter_ranges(df, PLAUSIBLE)
     if dict(plausible.dtypes)["time"] == "string":
         plausible = plausible.withColumn("time", parse_time("time"))
-    lively = drop_flatline(plausible, "time", PM25_RAW, **sized)
+    # Written once: the missing share, the sensors and the filling all read it.
+    lively = cut(drop_flatline(plausible, "time", PM25_RAW, **sized))
     filled = qa_qc_impute(lively, "time", PM25_RAW, **sized)
     return filled.withColumn(PM25_CALIBRATED, calibrate_pm25(quoted(PM25_RAW), quoted(HUMIDITY_RAW)))
 

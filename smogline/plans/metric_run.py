@@ -15,7 +15,7 @@ from smogline.operators.rollup import label_days, rollup_day, rollup_days
 from smogline.plans.cleaners import clean
 from smogline.plans.store import in_partitions, merge_into_store, read_store
 from smogline.schema import CELL, DEFAULT_METRICS, METRICS, MIN_PARTS, MetricSpec
-from smogline.session import scratch_path
+from smogline.session import cut, scratch_path
 from smogline.sources.sinks import write_type_offsets
 
 log = logging.getLogger(__name__)
@@ -50,8 +50,7 @@ def run_metric(spark: SparkSession, spec: MetricSpec, source: DataFrame, store:
     again from all stored hours, and those no longer valid are removed.
     """
     cells = metric_cells(spec, source, start, end, groups)
-    if refresh:
-        cells = filter_type(cells, "hour")
+    cells = cut(filter_type(cells, "hour") if refresh else cells)
     merge_into_store(spark, cells, store, scratch_path(spark, f"{spec.name}-staging"))
     if refresh:
         refresh_periods(spark, store, cells)
@@ -87,7 +86,7 @@ def refresh_periods(spark: SparkSession, store: str, hour_cells: DataFrame, limi
     winter and last week or winter reach into, nothing else.
     """
     limits = {**MIN_PARTS, **(limits or {})}
-    touched = touched_periods(hour_cells)
+    touched = cut(touched_periods(hour_cells))
     years = sorted(int(r["y"]) for r in hour_cells.filter("type = 'hour'")
                    .select(F.substring("date", 1, 4).alias("y")).distinct().collect())
     months = {("hour", f"{y:04d}-{m:02d}") for y in years for m in range(1, 13)}
@@ -104,4 +103,4 @@ def refresh_periods(spark: SparkSession, store: str, hour_cells: DataFrame, limi
     cells = (upper.select(*columns).unionByName(label_days(days, keys).select(*columns))
              .filter("is_valid").withColumnRenamed("metric", "value").drop("is_valid")
              .join(touched, CELL, "left_semi"))
-    merge_into_store(spark, cells, store, scratch_path(spark, "refresh-staging"), replace=touched)
+    merge_into_store(spark, cut(cells), store, scratch_path(spark, "refresh-staging"), replace=touched)

@@ -46,7 +46,8 @@ def merge_into_store(spark: SparkSession, new: DataFrame, path: str, staging: st
 
     The merged partitions are first written to ``staging``; its success marker makes the
     step repeatable: a run that stops before it has changed nothing, and one that stops
-    after it publishes the same files again. ``replace`` names cells (type, date,
+    after it publishes the same files again. ``new`` is read more than once, so it should
+    be stored rows (see ``cut``) and not a long computation. ``replace`` names cells (type, date,
     datasourceId) whose old value must not survive.
     """
     new = with_bucket(new)
@@ -64,7 +65,8 @@ def merge_into_store(spark: SparkSession, new: DataFrame, path: str, staging: st
         if not pairs:
             return
         merged = with_bucket(upsert_measurements(old, new))
-        (merged.repartition(*PARTITIONS, F.pmod(F.xxhash64("datasourceId", "date"), F.lit(16)))
+        # Rebalancing splits a crowded bucket and joins small ones by their measured size.
+        (merged.hint("rebalance", *PARTITIONS)
          .sortWithinPartitions(F.col("type"), F.col("date").desc(), "datasourceId")
          .write.mode("overwrite").option("compression", "zstd").partitionBy(*PARTITIONS).parquet(staging))
     publish(spark, staging, path)

@@ -9,6 +9,7 @@ from smogline.operators.dataset import sensor_cells
 from smogline.operators.quality import keep_valid
 from smogline.operators.rollup import label_hours
 from smogline.plans.store import merge_into_store
+from smogline.session import cut
 
 
 def hour_cells(hours: DataFrame) -> DataFrame:
@@ -19,7 +20,7 @@ def upsert_batch(batch: DataFrame, batch_id: int, target: str, checkpoint: str)
     """Merge one micro-batch. Its merged partitions are staged under the checkpoint by batch
     id, so a replayed batch publishes the same files and changes nothing."""
     spark = batch.sparkSession
-    merge_into_store(spark, hour_cells(batch), target, f"{checkpoint}/staging/batch={batch_id}")
+    merge_into_store(spark, cut(hour_cells(batch)), target, f"{checkpoint}/staging/batch={batch_id}")
     if batch_id > 0:
         # Batch n starts after batch n-1 was committed, whose staged files are done with.
         jvm = spark.sparkContext._jvm

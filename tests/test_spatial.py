@@ -90,10 +90,10 @@ def square(x, y, size):
     return [(float(x), float(y)), (x + size, float(y)), (x + size, y + size), (float(x), y + size)]
 
 
-def regions_of(spark, edges, points):
+def regions_of(spark, edges, points, hot=20):
     p = spark.createDataFrame([(i, float(x) if x is not None else None, float(y)) for i, (x, y) in enumerate(points)],
                               "i int, lon double, lat double")
-    return rows(spatial.assign_regions(p, spark.createDataFrame(edges, EDGES), ["name"], "lon", "lat"), "i", "name")
+    return rows(spatial.assign_regions(p, spark.createDataFrame(edges, EDGES), ["name"], "lon", "lat", hot), "i", "name")
 
 
 def test_holes_borders_and_overlaps(spark):
