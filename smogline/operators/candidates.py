@@ -34,7 +34,7 @@ def first_poles(poles: DataFrame, priorities=PRIORITIES, order_col: str = "_ord"
     per site key and task, however many poles a key has.
     """
     pole = F.struct(F.col(order_col).alias("ord"), F.col("FEATURE_ID").alias("id"),
-                    geocode("Latitude", "Longitude").alias("geocode"), F.col("Address").alias("address"))
+                    F.col("Address").alias("address"), F.col("Latitude").alias("lat"), F.col("Longitude").alias("lon"))
     return (poles.filter(F.col("Candidate").isin(*priorities)).groupBy(*SITE_KEYS.values())
             .agg(*[F.min(F.when(F.col("Candidate") == p, pole)).alias(f"_p{p}") for p in priorities]))
 
@@ -48,7 +48,8 @@ def fill_candidates(sites: DataFrame, poles: DataFrame, priorities=PRIORITIES, o
     filled = [c.format(p) for p in priorities for c in FILLED.values()]
     wide = first_poles(poles, priorities, order_col).select(
         *[F.col(p).alias(s) for s, p in SITE_KEYS.items()],
-        *[F.col(f"_p{p}.{part}").alias(name.format(p)) for p in priorities for part, name in FILLED.items()])
+        *[(geocode(f"_p{p}.lat", f"_p{p}.lon") if part == "geocode" else F.col(f"_p{p}.{part}")).alias(name.format(p))
+          for p in priorities for part, name in FILLED.items()])
     columns = [c for c in sites.columns if c not in filled]
     return lookup_join(sites.select(*[quoted(c) for c in columns]), wide, list(SITE_KEYS), "left").select(
         *[quoted(c) for c in [*columns, *filled]])

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from smogline.functions.values import quoted
 from smogline.operators.joins import null_safe_join
@@ -20,6 +21,7 @@ from smogline.schema import SENSOR
 SEGMENT_ROWS = 500_000
 BLOCK_SECONDS = 3600
 BLOCKS_PER_GROUP = 1024
+PLACING = ("_pos", "_seg", "_tie")
 
 
 @dataclass(frozen=True)
@@ -29,6 +31,7 @@ class Series:
     df: DataFrame
     ts: str
     keys: tuple[str, ...]
+    order: tuple[Column, ...]  # what a window over a segment sorts by
     segment_rows: int | None  # None: no sensor needed splitting, every segment is 0
 
     @property
@@ -39,12 +42,12 @@ class Series:
         return replace(self, df=df)
 
     def rows(self) -> DataFrame:
-        return self.df.drop("_pos", "_seg")
+        return self.df.drop(*PLACING)
 
     def framed(self, reach: int) -> tuple[DataFrame, WindowSpec]:
         """Rows plus the ``reach`` rows beyond each border (``_core`` is false for those),
         and the window to look around in."""
-        window = Window.partitionBy(*self.keys, "_seg").orderBy("_pos")
+        window = Window.partitionBy(*self.keys, "_seg").orderBy(*self.order)
         if not self.split:
             return self.df.withColumn("_core", F.lit(True)), window
         size = self.segment_rows
@@ -60,25 +63,29 @@ class Series:
 
 def place_rows(df: DataFrame, ts: str, keys=SENSOR, tie=(), segment_rows: int = SEGMENT_ROWS,
                block_seconds: int = BLOCK_SECONDS) -> Series:
-    """Number every sensor's rows by time, then by the ``tie`` columns.
+    """Number every sensor's rows by time, then by the ``tie`` columns, then by content.
 
+    The last makes the order total: computed twice, also on another machine, it is the same.
     One small job counts rows per sensor. If none exceeds ``segment_rows`` a plain window
     does. Otherwise rows are numbered within time blocks and shifted by the number of rows
     in earlier blocks. The shifts come from block counts in two steps (blocks within a
     group, groups within a sensor), so no task sees more than a small share of them.
     """
     keys = tuple(keys)
-    order = [quoted(ts).asc_nulls_last(), *tie]
+    content = F.xxhash64(*[quoted(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
+    rows = df.withColumn("_tie", content)
+    order = (quoted(ts).asc_nulls_last(), *tie, F.col("_tie"))
     longest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     if longest <= segment_rows:
+        # Later windows sort by the same columns, so the one sort made here serves them all.
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        placed = df.withColumn("_pos", number.cast("bigint") - 1).withColumn("_seg", F.lit(0).cast("bigint"))
-        return Series(placed, ts, keys, None)
+        placed = rows.withColumn("_pos", number.cast("bigint") - 1).withColumn("_seg", F.lit(0).cast("bigint"))
+        return Series(placed, ts, keys, order, None)
 
     # Rows without a time come last in no particular order, so they may be spread freely.
-    timeless = F.lit(2**61) + F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.lit(BLOCKS_PER_GROUP))
+    timeless = F.lit(2**61) + F.pmod(F.col("_tie"), F.lit(BLOCKS_PER_GROUP))
     block = F.coalesce(F.floor(F.unix_micros(quoted(ts)) / (block_seconds * 1_000_000)), timeless).cast("bigint")
-    rows = df.withColumn("_block", block)
+    rows = rows.withColumn("_block", block)
     counts = (rows.groupBy(*keys, "_block").agg(F.count("*").alias("_n"))
               .withColumn("_group", F.floor(F.col("_block") / BLOCKS_PER_GROUP)))
     before = (Window.unboundedPreceding, -1)
@@ -94,7 +101,7 @@ def place_rows(df: DataFrame, ts: str, keys=SENSOR, tie=(), segment_rows: int =
     placed = null_safe_join(rows, shifts, [*keys, "_block"]).select(
         *[quoted(c) for c in df.columns], (F.col("_shift") + F.col("_rn") - 1).alias("_pos"))
     placed = placed.withColumn("_seg", F.floor(F.col("_pos") / segment_rows).cast("bigint"))
-    return Series(placed, ts, keys, segment_rows)
+    return Series(placed, ts, keys, (F.col("_pos").asc(),), segment_rows)
 
 
 def rolling_sd(series: Series, col: str, before: int = 5, after: int = 5, name: str = "rolling_sd") -> Series:
@@ -118,7 +125,7 @@ def drop_flatline(df: DataFrame, ts: str, col: str, before: int = 5, after: int
     flat = ((F.count(value).over(around) >= 2)
             & (F.min(value).over(around) == F.max(value).over(around)))
     out = framed.withColumn("_flat", F.coalesce(flat, F.lit(False)))
-    return out.filter("_core and not _flat").drop("_core", "_flat", "_pos", "_seg")
+    return out.filter("_core and not _flat").drop("_core", "_flat", *PLACING)
 
 
 def null_rows(series: Series, col: str, beside_null: bool = False) -> DataFrame:

@@ -191,3 +191,18 @@ def test_rows_without_time_come_last(spark):
     for size in (1000, 1):
         got = sr.place_rows(df, "time", segment_rows=size).df
         assert rows(got, "v", "_pos") == [(1.0, 1), (2.0, 0)]
+
+
+def test_one_sort_serves_all_windows(spark):
+    df = sr.drop_flatline(series(spark, [1.0] * 30), "time", "v")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert plan.count("Sort [") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("size", [1000, 9])
+def test_equal_times_lose_no_rows(spark, size):
+    x = noisy(120, 0.3, 6)
+    df = series(spark, x).withColumn("time", F.date_trunc("hour", "time"))
+    filled = impute.fill_single_gaps(sr.place_rows(df, "time", segment_rows=size), "v").rows()
+    assert filled.count() == 120 and rows(filled.groupBy("time").count()) == rows(df.groupBy("time").count())
