@@ -7,6 +7,7 @@ import fnmatch
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smogline.functions.times import parse_time
 from smogline.functions.values import qc_column_for, quoted
 from smogline.schema import SENSOR, MetricSpec
 
@@ -50,8 +51,8 @@ def select_metrics(df: DataFrame, pattern: str | None, groups: dict[str, list[st
 
 
 def filter_time(df: DataFrame, ts_col: str, start=None, end=None) -> DataFrame:
-    """Rows in ``[start, end)``; literals, so the filter reaches the scan."""
-    ts = quoted(ts_col)
+    """Rows in ``[start, end)``; literals, so the filter reaches the scan. Text is parsed."""
+    ts = parse_time(quoted(ts_col)) if dict(df.dtypes)[ts_col] == "string" else quoted(ts_col)
     if start is not None:
         df = df.filter(ts >= F.lit(start))
     if end is not None:

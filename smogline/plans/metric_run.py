@@ -15,7 +15,7 @@ from smogline.operators.rollup import label_days, rollup_day, rollup_days
 from smogline.plans.cleaners import clean
 from smogline.plans.store import in_partitions, merge_into_store, read_store
 from smogline.schema import CELL, DEFAULT_METRICS, METRICS, MIN_PARTS, MetricSpec
-from smogline.session import cut, scratch_path
+from smogline.session import cut
 from smogline.sources.sinks import write_type_offsets
 
 log = logging.getLogger(__name__)
@@ -51,7 +51,7 @@ def run_metric(spark: SparkSession, spec: MetricSpec, source: DataFrame, store:
     """
     cells = metric_cells(spec, source, start, end, groups)
     cells = cut(filter_type(cells, "hour") if refresh else cells)
-    merge_into_store(spark, cells, store, scratch_path(spark, f"{spec.name}-staging"))
+    merge_into_store(spark, cells, store)
     if refresh:
         refresh_periods(spark, store, cells)
     stored = read_store(spark, store)
@@ -103,4 +103,4 @@ def refresh_periods(spark: SparkSession, store: str, hour_cells: DataFrame, limi
     cells = (upper.select(*columns).unionByName(label_days(days, keys).select(*columns))
              .filter("is_valid").withColumnRenamed("metric", "value").drop("is_valid")
              .join(touched, CELL, "left_semi"))
-    merge_into_store(spark, cut(cells), store, scratch_path(spark, "refresh-staging"), replace=touched)
+    merge_into_store(spark, cut(cells), store, replace=touched)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,35 +43,54 @@ def in_partitions(df: DataFrame, pairs) -> DataFrame:
     return df.filter(keep)
 
 
-def merge_into_store(spark: SparkSession, new: DataFrame, path: str, staging: str, replace: DataFrame | None = None) -> None:
-    """Upsert cells, rewriting only the partitions they touch.
+def merge_into_store(spark: SparkSession, new: DataFrame, path: str, replace: DataFrame | None = None) -> None:
+    """Upsert cells, rewriting only the partitions they touch. One writer at a time.
 
-    The merged partitions are first written to ``staging``; its success marker makes the
-    step repeatable: a run that stops before it has changed nothing, and one that stops
-    after it publishes the same files again. ``new`` is read more than once, so it should
-    be stored rows (see ``cut``) and not a long computation. ``replace`` names cells (type, date,
+    The merged partitions are staged beside the store and then published. A run that stops
+    before staging is complete has changed nothing; one that stops while publishing is
+    finished by the next run. ``new`` is read more than once, so it should be stored rows
+    (see ``cut``) and not a long computation. ``replace`` names cells (type, date,
     datasourceId) whose old value must not survive.
     """
+    finish_pending(spark, path)
+    staging = f"{path}.staging/{uuid.uuid4().hex}"
+    if stage(spark, new, path, staging, replace):
+        finish_pending(spark, path)
+
+
+def stage(spark: SparkSession, new: DataFrame, path: str, staging: str, replace: DataFrame | None = None) -> bool:
+    """Write the merged form of the touched partitions to ``staging``; False if there are none."""
     new = with_bucket(new)
-    if not _complete(spark, staging):
-        pairs = set(touched_partitions(new))
-        old = read_store(spark, path)
-        if replace is not None:
-            gone = with_bucket(replace).select(*CELL, "bucket").distinct()
-            pairs |= set(touched_partitions(gone))
-            old = (in_partitions(old, pairs)
-                   .join(gone.select(*CELL, F.lit(True).alias("_gone")), CELL, "left")
-                   .withColumn("value", F.when(F.col("_gone").isNull(), F.col("value"))).drop("_gone"))
-        else:
-            old = in_partitions(old, pairs)
-        if not pairs:
-            return
-        merged = with_bucket(upsert_measurements(old, new))
-        # Rebalancing splits a crowded bucket and joins small ones by their measured size.
-        (merged.hint("rebalance", *PARTITIONS)
-         .sortWithinPartitions(F.col("type"), F.col("date").desc(), "datasourceId")
-         .write.mode("overwrite").option("compression", "zstd").partitionBy(*PARTITIONS).parquet(staging))
-    publish(spark, staging, path)
+    pairs = set(touched_partitions(new))
+    if replace is not None:
+        gone = with_bucket(replace).select(*CELL, "bucket").distinct()
+        pairs |= set(touched_partitions(gone))
+    if not pairs:
+        return False
+    old = in_partitions(read_store(spark, path), pairs)
+    if replace is not None:
+        old = (old.join(gone.select(*CELL, F.lit(True).alias("_gone")), CELL, "left")
+               .withColumn("value", F.when(F.col("_gone").isNull(), F.col("value"))).drop("_gone"))
+    merged = with_bucket(upsert_measurements(old, new))
+    # Rebalancing splits a crowded bucket and joins small ones by their measured size.
+    (merged.hint("rebalance", *PARTITIONS)
+     .sortWithinPartitions(F.col("type"), F.col("date").desc(), "datasourceId")
+     .write.mode("overwrite").option("compression", "zstd").partitionBy(*PARTITIONS).parquet(staging))
+    return True
+
+
+def finish_pending(spark: SparkSession, path: str) -> None:
+    """Publish what was staged completely and drop what was not."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{path}.staging")
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return
+    for status in files.listStatus(root):
+        staged = status.getPath()
+        if files.exists(jvm.org.apache.hadoop.fs.Path(staged, "_SUCCESS")):
+            publish(spark, staged.toString(), path)
+        files.delete(staged, True)
 
 
 def publish(spark: SparkSession, staging: str, path: str) -> None:
@@ -79,11 +100,5 @@ def publish(spark: SparkSession, staging: str, path: str) -> None:
      .option("compression", "zstd").partitionBy(*PARTITIONS).parquet(path))
 
 
-def _complete(spark: SparkSession, folder: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
-
-
-__all__ = ["STORED", "in_partitions", "merge_into_store", "publish", "read_store",
+__all__ = ["STORED", "finish_pending", "in_partitions", "merge_into_store", "publish", "read_store", "stage",
            "touched_partitions", "with_bucket"]

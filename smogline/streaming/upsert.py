@@ -16,21 +16,15 @@ def hour_cells(hours: DataFrame) -> DataFrame:
     return sensor_cells(label_hours(keep_valid(hours)))
 
 
-def upsert_batch(batch: DataFrame, batch_id: int, target: str, checkpoint: str) -> None:
-    """Merge one micro-batch. Its merged partitions are staged under the checkpoint by batch
-    id, so a replayed batch publishes the same files and changes nothing."""
-    spark = batch.sparkSession
-    merge_into_store(spark, cut(hour_cells(batch)), target, f"{checkpoint}/staging/batch={batch_id}")
-    if batch_id > 0:
-        # Batch n starts after batch n-1 was committed, whose staged files are done with.
-        jvm = spark.sparkContext._jvm
-        done = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/staging/batch={batch_id - 1}")
-        done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(done, True)
+def upsert_batch(batch: DataFrame, target: str) -> None:
+    """Merge one micro-batch. A replayed batch brings the same values for the same cells,
+    and merging those again changes nothing."""
+    merge_into_store(batch.sparkSession, cut(hour_cells(batch)), target)
 
 
 def stream_upsert(hours: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Start merging ``stream_hourly`` output into the store at ``target``, as far as data
     has landed. One query writes a store at a time."""
     return (hours.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda batch, batch_id: upsert_batch(batch, batch_id, target, checkpoint))
+            .foreachBatch(lambda batch, _: upsert_batch(batch, target))
             .trigger(availableNow=True).start())

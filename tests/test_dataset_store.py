@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from helpers import rows
 from hypothesis import HealthCheck, given, settings
@@ -91,31 +93,43 @@ def test_store_rewrites_touched_partitions_only(spark, shared):
     import glob
 
     path = shared("store")
-    store.merge_into_store(spark, cells(spark, ("hour", "2026-01-01", "A", 1.0), ("hour", "2026-02-01", "A", 1.0)), path, shared("st1"))
+    store.merge_into_store(spark, cells(spark, ("hour", "2026-01-01", "A", 1.0), ("hour", "2026-02-01", "A", 1.0)), path)
     untouched = set(glob.glob(f"{path}/type=hour/bucket=2026-01/*.parquet"))
     assert untouched
-    store.merge_into_store(spark, cells(spark, ("hour", "2026-02-01", "A", 5.0), ("year", "2026", "A", 3.0)), path, shared("st2"))
+    store.merge_into_store(spark, cells(spark, ("hour", "2026-02-01", "A", 5.0), ("year", "2026", "A", 3.0)), path)
     assert set(glob.glob(f"{path}/type=hour/bucket=2026-01/*.parquet")) == untouched
     assert rows(store.read_store(spark, path), "date", "value") == [("2026", 3.0), ("2026-01-01", 1.0), ("2026-02-01", 5.0)]
 
 
-def test_interrupted_publication_is_repeatable(spark, shared):
-    path, staging = shared("store"), shared("staging")
-    store.merge_into_store(spark, cells(spark, ("hour", "2026-01-01", "A", 1.0)), path, shared("st"))
+def test_interrupted_publication_is_finished_by_the_next_run(spark, shared):
+    path = shared("store")
+    store.merge_into_store(spark, cells(spark, ("hour", "2026-01-01", "A", 1.0), ("hour", "2026-01-01", "C", 4.0)), path)
     new = cells(spark, ("hour", "2026-01-01", "A", 2.0), ("hour", "2026-01-01", "B", 3.0))
-    store.merge_into_store(spark, new, path, staging)
-    after = rows(store.read_store(spark, path))
-    # The same batch again, with a store that lost the partition half way through publishing.
+    assert store.stage(spark, new, path, f"{path}.staging/stopped")
+    # Publishing stopped half way: the old partition is gone, the new one is not there.
     (cells(spark, ("hour", "2026-01-01", "Z", 0.0)).selectExpr("*", "'2026-01' as bucket")
      .write.mode("overwrite").partitionBy("type", "bucket").parquet(path))
-    store.merge_into_store(spark, new, path, staging)
-    assert rows(store.read_store(spark, path)) == after
+    store.merge_into_store(spark, cells(spark, ("day", "2026-01-01", "A", 9.0)), path)
+    assert rows(store.read_store(spark, path), "type", "datasourceId", "value") == [
+        ("day", "A", 9.0), ("hour", "A", 2.0), ("hour", "B", 3.0), ("hour", "C", 4.0)]
+
+
+def test_incomplete_staging_is_dropped(spark, shared):
+    import os
+
+    path = shared("store")
+    staged = f"{path}.staging/stopped"
+    store.stage(spark, cells(spark, ("day", "2026-01-01", "A", 1.0)), path, staged)
+    os.remove(f"{staged}/_SUCCESS")
+    store.merge_into_store(spark, cells(spark, ("day", "2026-01-02", "A", 2.0)), path)
+    assert rows(store.read_store(spark, path), "date") == [("2026-01-02",)]
+    assert os.listdir(f"{path}.staging") == [] or all(n.startswith(".") for n in os.listdir(f"{path}.staging"))
 
 
 def test_replaced_cells_disappear(spark, shared):
     path = shared("store")
-    store.merge_into_store(spark, cells(spark, ("day", "2026-01-01", "A", 1.0), ("day", "2026-01-02", "A", 1.0)), path, shared("st1"))
-    store.merge_into_store(spark, cells(spark), path, shared("st2"),
+    store.merge_into_store(spark, cells(spark, ("day", "2026-01-01", "A", 1.0), ("day", "2026-01-02", "A", 1.0)), path)
+    store.merge_into_store(spark, cells(spark), path,
                            replace=cells(spark, ("day", "2026-01-01", "A", None)).drop("value"))
     assert rows(store.read_store(spark, path), "date") == [("2026-01-02",)]
 
@@ -177,3 +191,14 @@ def test_unknown_cleaner(spark):
 
     with pytest.raises(LookupError):
         clean(spark.range(1), MetricSpec("m", "x.value", cleaner="magic"))
+
+
+def test_minute_metric_end_to_end(spark, shared):
+    """Two days of readings every 15 minutes as text times, ranged, cleaned and stored."""
+    readings = spark.sql("""SELECT 'D' datasourceId, 'S' sourceId, 41.0D locationLatitude, -87.0D locationLongitude,
+        date_format(timestamp'2026-01-01' + make_interval(0,0,0,0,0,15 * cast(id as int),0), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'") time,
+        10.0D + id % 7 `pm2_5ConcMassIndividual.raw`, 50.0D `relHumidInternalIndividual.raw`, 20.0D `temperatureInternalIndividual.raw`,
+        if(id % 4 = 0, 'invalid', 'valid') `pm2_5ConcMassIndividual.qcAssessment` FROM range(192)""")
+    stored = metric_run.run_metric(spark, METRICS["mean_pm25"], readings, shared("pm"),
+                                   start=datetime(2026, 1, 1), end=datetime(2026, 1, 2))
+    assert rows(stored.groupBy("type").count()) == [("day", 1), ("hour", 24)]

@@ -126,13 +126,13 @@ def test_late_rows_amend_or_are_dropped(spark, shared):
 
 
 def test_replayed_batch_changes_nothing(spark, shared):
-    target, state = shared("store"), shared("state")
+    target = shared("store")
     readings = spark.createDataFrame([("A", "S", 2.0)], "datasourceId string, sourceId string, v double").withColumn(
         "ts", F.to_timestamp(F.lit("2026-01-01 05:10:00")))
     batch = rollup.rollup_hour(readings, "ts", "v")
-    upsert.upsert_batch(batch, 0, target, state)
+    upsert.upsert_batch(batch, target)
     before = rows(store.read_store(spark, target))
-    upsert.upsert_batch(batch, 0, target, state)
+    upsert.upsert_batch(batch, target)
     assert rows(store.read_store(spark, target)) == before == [("hour", "2026-01-01 05:00:00", "A", 2.0, "2026-01")]
 
 
