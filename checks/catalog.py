@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import tables as t
-from checks.tables import sql_haversine, sql_hour_label, sql_label, sql_season, with_views
-from smogline.functions import geo, labels, times, values
-from smogline.operators import candidates, dataset, features, impute, quality, rollup, series, spatial
-from smogline.plans import cleaners, locations, metric_run, store
-from smogline.schema import MIN_PARTS, PLAUSIBLE, SENSOR, MetricSpec
+from checks.tables import sql_haversine, sql_hour_label, sql_label, with_views
+from smogline.functions import geo, labels, values
+from smogline.operators import dataset, impute, quality, rollup, series, spatial
+from smogline.plans import cleaners, locations, metric_run
+from smogline.schema import MIN_PARTS, SENSOR, MetricSpec
 from smogline.session import scratch_path
 
 QUERIES: dict = {}
@@ -227,7 +227,7 @@ add("u3_concat_parts",
 
 
 def _ordered(s, d) -> DataFrame:
-    """Matrix rows with the position they have in latest-first order, taken from counts of earlier types and dates."""
+    """The rows of the measurement matrix, latest first."""
     rows = rollup.rollup_all(t.hourly(s, d), "endOfPeriod", "value").select("type", "date").distinct()
     return dataset.order_latest_first(rows)
 

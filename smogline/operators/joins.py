@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SALTS = 16
 HOT_ROWS = 1_000_000
 
 
+def content_hash(df: DataFrame) -> Column:
+    """A hash of the whole row; maps, which have no fixed order, are left out."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
+
+
 def salt_hot_keys(left: DataFrame, right: DataFrame, on: list[str], hot_rows: int = HOT_ROWS,
                   salts: int = SALTS) -> tuple[DataFrame, DataFrame]:
     """Both sides with a ``_salt`` to join on together with ``on``.
@@ -24,7 +30,7 @@ def salt_hot_keys(left: DataFrame, right: DataFrame, on: list[str], hot_rows: in
                       .select(*on, F.lit(True).alias("_hot")))
     keyless = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in on])
     spread = F.coalesce(F.col("_hot"), F.lit(False)) | keyless
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
+    salt = F.pmod(content_hash(left), F.lit(salts)).cast("int")
     salted = left.withColumn("_all", salt).join(hot, on, "left").withColumn(
         "_salt", F.when(spread, F.col("_all")).otherwise(0)).drop("_all", "_hot")
     repeated = right.join(hot, on, "left").withColumn("_salt", F.explode(

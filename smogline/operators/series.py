@@ -12,10 +12,9 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from smogline.functions.values import quoted
-from smogline.operators.joins import null_safe_join
+from smogline.operators.joins import content_hash, null_safe_join
 from smogline.schema import SENSOR
 
 SEGMENT_ROWS = 500_000
@@ -72,8 +71,7 @@ def place_rows(df: DataFrame, ts: str, keys=SENSOR, tie=(), segment_rows: int =
     group, groups within a sensor), so no task sees more than a small share of them.
     """
     keys = tuple(keys)
-    content = F.xxhash64(*[quoted(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
-    rows = df.withColumn("_tie", content)
+    rows = df.withColumn("_tie", content_hash(df))
     order = (quoted(ts).asc_nulls_last(), *tie, F.col("_tie"))
     longest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     if longest <= segment_rows:

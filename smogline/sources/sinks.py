@@ -7,6 +7,7 @@ import logging
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from smogline.functions.features import decimals_to_double
 from smogline.functions.labels import type_rank
@@ -14,6 +15,7 @@ from smogline.functions.labels import type_rank
 log = logging.getLogger(__name__)
 
 SUMMARY_FORMATS = ("csv", "parquet", "json")
+STORE_FOLDERS = ("type", "bucket")
 
 
 def write_dataset(df: DataFrame, path: str, codec: str = "zstd") -> None:
@@ -56,10 +58,14 @@ def snapshot_dataset(spark: SparkSession, sources: dict[str, str], root: str, st
     """Copy the named datasets below ``root/snapshot_ts=<stamp>``; an existing copy is refused."""
     target = f"{root}/snapshot_ts={stamp}"
     for name, path in sources.items():
-        df = spark.read.parquet(path)
-        writer = df.write.mode("errorifexists").option("compression", "zstd")
-        if "type" in df.columns:
-            writer = writer.partitionBy("type")
+        found = spark.read.parquet(path).schema
+        folders = [c for c in STORE_FOLDERS if c in found.names]
+        # Folder names are text; left to itself Spark would read some of them as numbers or dates.
+        schema = T.StructType([
+            T.StructField(f.name, T.StringType() if f.name in folders else f.dataType) for f in found.fields])
+        writer = spark.read.schema(schema).parquet(path).write.mode("errorifexists").option("compression", "zstd")
+        if folders:
+            writer = writer.partitionBy(*folders)
         try:
             writer.parquet(f"{target}/{name}")
         except AnalysisException as error:

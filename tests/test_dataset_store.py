@@ -202,3 +202,12 @@ def test_minute_metric_end_to_end(spark, shared):
     stored = metric_run.run_metric(spark, METRICS["mean_pm25"], readings, shared("pm"),
                                    start=datetime(2026, 1, 1), end=datetime(2026, 1, 2))
     assert rows(stored.groupBy("type").count()) == [("day", 1), ("hour", 24)]
+
+
+def test_a_snapshot_of_the_store_is_a_store(spark, shared):
+    path, root = shared("store"), shared("snapshots")
+    store.merge_into_store(spark, cells(spark, ("hour", "2026-01-01", "A", 1.0), ("hour", "2026-02-01", "A", 2.0)), path)
+    copy = sinks.snapshot_dataset(spark, {"pm": path}, root, "2026-02-02") + "/pm"
+    assert rows(store.read_store(spark, copy)) == rows(store.read_store(spark, path))
+    store.merge_into_store(spark, cells(spark, ("hour", "2026-02-01", "A", 3.0)), copy)
+    assert rows(store.read_store(spark, copy), "date", "value") == [("2026-01-01", 1.0), ("2026-02-01", 3.0)]
