@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.llm import mixing, warc
+from smogline.llm import exact, mixing, simhash, warc
 from smogline.session import scratch_path
 
 
@@ -28,9 +28,22 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts; the largest doc_id stays."""
+    return exact.dedup(table(spark, sf_dir, "documents"), keep="largest")
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of close fingerprints."""
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op6_simhash": op6_simhash,
 }
 
 SQL = {
@@ -73,4 +86,12 @@ SQL = {
         )
         SELECT doc_id, size, source_size, target,
                size * CAST(floor(off + n * rate) - floor(off + (n - 1) * rate) AS BIGINT) AS taken FROM placed""",
+    "op5_exact_dedup": """
+        WITH d AS (
+            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+            FROM documents
+        )
+        SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+               doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
+        FROM d WINDOW g AS (PARTITION BY norm)""",
 }
