@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.llm import exact, mixing, simhash, warc
+from smogline.llm import exact, lines, mixing, simhash, warc
 from smogline.session import scratch_path
 
 
@@ -28,6 +28,15 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents inserted into an index of lines, then cleaned by it."""
+    docs = table(spark, sf_dir, "documents")
+    index = lines.LineIndex(spark, scratch_path(spark, "lines"))
+    index.insert(docs)
+    done = index.dedup(docs)
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts; the largest doc_id stays."""
     return exact.dedup(table(spark, sf_dir, "documents"), keep="largest")
@@ -42,6 +51,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
+    "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash": op6_simhash,
 }
@@ -86,6 +96,21 @@ SQL = {
         )
         SELECT doc_id, size, source_size, target,
                size * CAST(floor(off + n * rate) - floor(off + (n - 1) * rate) AS BIGINT) AS taken FROM placed""",
+    "op4_line_dedup": r"""
+        WITH l AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents
+        ), k AS (
+            SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+        ), c AS (
+            SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+        ), j AS (
+            SELECT doc_id, line, pos, coalesce(doc_id <> top, false) AS dropped FROM k LEFT JOIN c USING (key)
+        )
+        SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (dropped) AS BIGINT) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+        FROM j GROUP BY doc_id""",
     "op5_exact_dedup": """
         WITH d AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
