@@ -66,7 +66,8 @@ def copies(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
     crowded = (sizes.groupBy("key", "size").agg(F.count("*").alias("n")).filter(n > block_rows)
                .select("key", "size", F.ceil(F.log(16.0, n / block_rows)).cast("int").alias("digits")))
     rows = (sizes.withColumn("digest", digest).join(crowded, ["key", "size"], "left")
-            .withColumn("block", F.substring(F.col("digest"), F.lit(1), F.coalesce("digits", F.lit(0)))).drop("digits"))
+            .withColumn("block", F.substring(F.col("digest"), F.lit(1), F.coalesce("digits", F.lit(0)))).drop("digits")
+            .repartition("key", "size", "block"))  # else the join's dealing by (key, size) would serve the window as well
     starts = rows.groupBy("key", "size", "block").agg(F.count("*").alias("n"))
     running = W.partitionBy("key").orderBy("size", "block").rowsBetween(W.unboundedPreceding, -1)
     starts = starts.select("key", "size", "block", F.coalesce(F.sum("n").over(running), F.lit(0)).alias("start"))
