@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.llm import exact, lines, mixing, simhash, warc
+from smogline.llm import embeddings, exact, langid, lines, mixing, pieces, pii, quality, simhash, warc
 from smogline.session import scratch_path
 
 
@@ -28,6 +28,14 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts cut into sampled pieces and put together again."""
+    codec = pieces.Codec(spark)
+    done = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), codec), codec)
+    return done.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.sha2("decoded", 256).alias("decoded_sha256"),
+                       F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents inserted into an index of lines, then cleaned by it."""
     docs = table(spark, sf_dir, "documents")
@@ -48,12 +56,40 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data by fixed patterns and by what was learnt from all texts."""
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs)).withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages as learnt from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of close vectors with equal labels."""
+    return embeddings.dedup(table(spark, sf_dir, "embeddings"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores as learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_simhash": op6_simhash,
+    "op7_pii": op7_pii,
+    "op8_langid": op8_langid,
+    "op9_embeddings": op9_embeddings,
+    "op10_quality": op10_quality,
 }
 
 SQL = {
@@ -119,4 +155,17 @@ SQL = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(norm) AS text_sha256
         FROM d WINDOW g AS (PARTITION BY norm)""",
+    "op9_embeddings": """
+        WITH RECURSIVE e AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+        ), p AS (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= 0.98
+        ), r AS (
+            SELECT vec_id, vec_id AS c FROM e UNION SELECT p.y, r.c FROM r JOIN p ON p.x = r.vec_id
+        ), c AS (
+            SELECT vec_id, min(c) AS component_id FROM r GROUP BY vec_id
+        )
+        SELECT e.vec_id, (SELECT count(*) FROM p WHERE p.x = e.vec_id) AS n_links, component_id, e.vec_id = component_id AS kept
+        FROM e JOIN c USING (vec_id)""",
 }
