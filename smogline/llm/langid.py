@@ -20,7 +20,7 @@ SAMPLE = 1000
 CENTROIDS = 3
 MAX_LANGUAGES = 1000
 PART_CHARS = 1 << 20
-FLOOR = 0.08
+FLOOR, CEILING = 0.04, 0.1
 SPARE = 0.8
 UNDETERMINED = "und"
 _LETTERS: list[np.ndarray] = []
@@ -108,8 +108,9 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     Document frequencies are counted over all of these texts. Centroids are clustered from about
     ``sample`` texts a language, drawn by a hash of the id. A language accepts what lies neither far
     below the mean cosine of its sample (``deviations`` standard deviations) nor below nearly all
-    of the sample, so that short texts stay; ``FLOOR`` is the least. Without any rows to learn
-    from there is no language, and everything is undetermined.
+    of the sample; the limit is between ``FLOOR`` and ``CEILING``, as a clean text of a few words
+    has few n-grams and so a small cosine. Without any rows to learn from there is no language,
+    and everything is undetermined.
     """
     spark = docs.sparkSession
     train = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
@@ -148,7 +149,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
         matrix = np.stack([np.frombuffer(v, dtype=np.float32) for v in sorted(rows["vector"])]).astype(np.float64)
         middle, own = cluster(matrix, centroids)
         near = (matrix * middle[own]).sum(axis=1)
-        accepts = max(FLOOR, min(float(near.mean() - deviations * near.std()), SPARE * float(near.min())))
+        accepts = max(FLOOR, min(CEILING, float(near.mean() - deviations * near.std()), SPARE * float(near.min())))
         return pd.DataFrame({"lang": rows["lang"].iloc[0], "centroid": [m.tobytes() for m in middle], "accepts": accepts})
 
     learnt = (cut(map_batches(chosen, vectors, "lang string, vector binary")).groupBy("lang")
