@@ -491,7 +491,7 @@ add("t2_stream_hourly", _streamed_hours,
 def _streamed_store(s, d) -> DataFrame:
     target, checkpoint = scratch_path(s, "stream-store"), scratch_path(s, "stream-store-state")
     upsert.stream_upsert(_hours_stream(s, d), target, checkpoint).awaitTermination()
-    return rounded(store.read_store(s, target).drop("bucket"), "value")
+    return rounded(store.read_store(s, target).filter("type = 'hour'").drop("bucket"), "value")
 
 
 add("t3_stream_upsert", _streamed_store, _CELLS_SQL, cells3=_CELLS3)

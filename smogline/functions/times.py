@@ -30,16 +30,14 @@ def _add_months(day: datetime, months: int) -> datetime:
 def period_bounds(kind: str, which: str, now: datetime) -> tuple[datetime, datetime]:
     """Half-open ``[start, end)`` of the current or previous period around ``now``.
 
-    The previous "3hours" are the last three full hours.
+    The current "3hours" are the last three full hours, the previous ones the three before.
     """
     if which not in ("current", "previous"):
         raise ValueError(f"unknown period choice: {which}")
     midnight = now.replace(hour=0, minute=0, second=0, microsecond=0)
     first = midnight.replace(day=1)
     if kind == "3hours":
-        if which == "current":
-            raise ValueError("only the previous three hours are defined")
-        end = now.replace(minute=0, second=0, microsecond=0)
+        end = now.replace(minute=0, second=0, microsecond=0) - timedelta(hours=3 * (which == "previous"))
         return end - timedelta(hours=3), end
     if kind in ("day", "week"):
         length = timedelta(days=1 if kind == "day" else 7)
@@ -54,6 +52,36 @@ def period_bounds(kind: str, which: str, now: datetime) -> tuple[datetime, datet
             else (_add_months(start, -months), start))
 
 
+#: What a historical run can be asked for, from the smallest to the largest, and the window that gives.
+RUN_WINDOWS = {
+    "hour": ("3hours", "current"), "day": ("day", "previous"), "week": ("week", "previous"), "month": ("month", "previous"),
+    "season": ("season", "previous"), "year": ("year", "previous"),
+}
+
+
+def run_window(now: datetime, historical: bool = False, levels=(), start: datetime | None = None,
+               end: datetime | None = None) -> tuple[datetime, datetime | None]:
+    """The ``[start, end)`` of a run; an end of None is open.
+
+    A recent run starts at ``start`` or else with the current three hours and is open. A
+    historical one covers the largest of the named ``levels``; without any, ``start`` to ``end``,
+    either of which defaults to that of the previous month. Levels and times exclude each other.
+    """
+    unknown = sorted(set(levels) - set(RUN_WINDOWS))
+    if unknown:
+        raise ValueError(f"unknown levels: {unknown}")
+    if levels and (start or end):
+        raise ValueError("give either levels or times")
+    if not historical:
+        if levels:
+            raise ValueError("levels belong to a historical run")
+        return start or period_bounds("3hours", "current", now)[0], end
+    if levels:
+        return period_bounds(*RUN_WINDOWS[max(levels, key=list(RUN_WINDOWS).index)], now)
+    default = period_bounds("month", "previous", now)
+    return start or default[0], end or default[1]
+
+
 def season_bounds(now: datetime) -> tuple[datetime, datetime]:
     return period_bounds("season", "current", now)
 
@@ -71,5 +99,5 @@ def period_start(kind: str, ts, shift: int = 0) -> Column:
     return F.add_months(first, shift * months).cast("timestamp")
 
 
-__all__ = ["PERIOD_KINDS", "format_iso", "parse_time", "period_bounds", "period_start",
-           "season_bounds", "season_of"]
+__all__ = ["PERIOD_KINDS", "format_iso", "parse_time", "period_bounds", "period_start", "RUN_WINDOWS",
+           "run_window", "season_bounds", "season_of"]

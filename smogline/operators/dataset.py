@@ -60,22 +60,25 @@ def unpivot_sensors(matrix: DataFrame) -> DataFrame:
         F.col("value").isNotNull())
 
 
-def upsert_measurements(existing: DataFrame, new: DataFrame) -> DataFrame:
+def upsert_measurements(existing: DataFrame, new: DataFrame, keys=CELL) -> DataFrame:
     """New values win, old ones stay where the new side has none; rows and sensors unite.
 
     Both sides hold one row per cell, as ``sensor_cells`` gives them. Grouping the union
     takes one shuffle with map-side combining where an outer join would take two.
     """
-    columns = [*CELL, "value"]
+    columns = [*keys, "value"]
     both = (existing.select(*columns, F.lit(False).alias("_new"))
             .unionByName(new.select(*columns, F.lit(True).alias("_new"))))
-    return both.groupBy(*CELL).agg(F.coalesce(
+    return both.groupBy(*keys).agg(F.coalesce(
         F.max(F.when(F.col("_new"), F.col("value"))),
         F.max(F.when(~F.col("_new"), F.col("value")))).alias("value"))
 
 
 def upsert_locations(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Merge sensor locations column by column, new values first; columns unite. Sorted by sensor."""
+    """Merge sensor locations column by column, new values first; columns unite. Sorted by sensor.
+
+    A null id equals a null id, so merging a table with itself changes nothing.
+    """
     columns = list(dict.fromkeys([*new.columns, *existing.columns]))
     old, fresh = existing.alias("o"), new.alias("n")
 
@@ -83,7 +86,7 @@ def upsert_locations(existing: DataFrame, new: DataFrame) -> DataFrame:
         sides = [F.col(f"{a}.`{c}`") for a, d in (("n", new), ("o", existing)) if c in d.columns]
         return F.coalesce(*sides).alias(c)
 
-    match = reduce(lambda a, b: a & b, [F.col(f"n.{k}") == F.col(f"o.{k}") for k in SENSOR])
+    match = reduce(lambda a, b: a & b, [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in SENSOR])
     return order_sensors(fresh.join(old, match, "full").select(*[merged(c) for c in columns]))
 
 

@@ -29,14 +29,17 @@ def history_rows(rows: DataFrame, order_col: str, metrics=FEATURE_METRICS) -> Da
             .agg(F.max(F.struct(order_col, "value"))["value"].alias("value")))
 
 
-def history_by_metric(rows: DataFrame, order_col: str, metrics=FEATURE_METRICS, part_length: int = 10) -> DataFrame:
-    """Maps from time to value, one per metric, for each datasource and day.
+#: How much of a history one row may hold, and the length of the time text that names it.
+PARTS = {"day": 10, "month": 7, "year": 4}
 
-    A datasource's whole history in one map would grow without limit, so each row holds
-    the part of it whose time text shares its first ``part_length`` characters (10: the
-    date). All metrics are present, empty where there is no value.
+
+def history_by_metric(rows: DataFrame, order_col: str, metrics=FEATURE_METRICS, part: str = "day") -> DataFrame:
+    """Maps from time to value, one per metric, for each datasource and day, month or year.
+
+    A datasource's whole history in one map would grow without limit; this is a departure
+    from a map per sensor. All metrics are present, empty where there is no value.
     """
-    day = F.substring("time", 1, part_length).alias("part")
+    day = F.substring("time", 1, PARTS[part]).alias("part")
     entry = F.struct("time", "value")
 
     def timeline(m: str):

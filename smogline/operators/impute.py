@@ -62,33 +62,50 @@ def _gap_table(framed: DataFrame, window, value: Column, threshold: float) -> Da
             .drop("_prev", "_next", "_sum", "_cnt", "_earlier", "_later"))
 
 
+def _maps(tables) -> "np.ndarray":
+    """The state after a gap for each state before it, from the gaps' tables."""
+    import numpy as np
+
+    states = np.arange(4)
+    filled = (tables[:, None] >> states) & 1
+    return filled + 2 * (states & 1)
+
+
+def _chain(maps) -> "np.ndarray":
+    """Row i of the result: where each start leads after the maps 0 to i, by doubling steps."""
+    import numpy as np
+
+    out, step = maps.copy(), 1
+    while step < len(out):
+        out[step:] = np.take_along_axis(out[step:], out[:-step].copy(), axis=1)
+        step *= 2
+    return out
+
+
 def _follow_tables(linked: DataFrame, keys) -> DataFrame:
     """Walk the linked gaps of each segment in order, for all four possible starts at once.
 
-    ``_outcome`` bit s: is the gap filled when the segment starts in state s;
-    ``_after`` holds, two bits each, the state reached from every start.
+    Gives keys, ``_seg``, ``_pos`` and per gap: ``_outcome``, whose bit s tells if the gap is
+    filled when the segment starts in state s; ``_after``, two bits each, the state reached
+    from every start. Only the gap's place and table go to Python.
     """
-    # Grouped maps cannot take column names with dots.
-    safe = {c: f"c{i}" for i, c in enumerate(linked.columns) if "." in c}
-    plain = linked.withColumnsRenamed(safe)
-    schema = T.StructType([*plain.schema.fields, T.StructField("_outcome", T.IntegerType()),
-                           T.StructField("_after", T.IntegerType())])
+    safe = {k: f"k{i}" for i, k in enumerate(keys)}  # grouped maps cannot take names with dots
+    plain = linked.select(*[quoted(k).alias(v) for k, v in safe.items()], "_seg", "_pos", "_table")
+    schema = T.StructType([*[f for f in plain.schema.fields if f.name != "_table"],
+                           T.StructField("_outcome", T.IntegerType()), T.StructField("_after", T.IntegerType())])
 
     def walk(table):
+        import numpy as np
         import pyarrow as pa
 
         table = table.sort_by("_pos")
-        states, outcomes, afters = [0, 1, 2, 3], [], []
-        for bits in table.column("_table").to_pylist():
-            filled = [(bits >> s) & 1 for s in states]
-            states = [f + 2 * (s & 1) for f, s in zip(filled, states)]
-            outcomes.append(sum(f << i for i, f in enumerate(filled)))
-            afters.append(sum(s << (2 * i) for i, s in enumerate(states)))
-        return (table.append_column("_outcome", pa.array(outcomes, pa.int32()))
-                .append_column("_after", pa.array(afters, pa.int32())))
+        after = _chain(_maps(table.column("_table").to_numpy().astype(np.int64)))
+        outcome = ((after & 1) << np.arange(4)).sum(axis=1)
+        packed = (after << (2 * np.arange(4))).sum(axis=1)
+        return (table.drop_columns(["_table"]).append_column("_outcome", pa.array(outcome.astype(np.int32)))
+                .append_column("_after", pa.array(packed.astype(np.int32))))
 
-    return plain.groupBy(*keys, "_seg").applyInArrow(walk, schema).withColumnsRenamed(
-        {v: k for k, v in safe.items()})
+    return plain.groupBy(*safe.values(), "_seg").applyInArrow(walk, schema).withColumnsRenamed({v: k for k, v in safe.items()})
 
 
 def _segment_starts(walked: DataFrame, keys) -> DataFrame:
@@ -137,13 +154,16 @@ def fill_single_gaps(series: Series, col: str, threshold: float = THRESHOLD, mod
     if mode == "window":
         return series.with_df(done(gaps, at_start))
     alone = done(gaps.filter("not _linked"), at_start)
-    walked = _follow_tables(gaps.filter("_linked"), keys)
+    linked = gaps.filter("_linked")
+    walked = _follow_tables(linked, keys)
     if series.split:
         walked = null_safe_join(walked, _segment_starts(walked, keys), [*keys, "_seg"])
         filled = F.expr("(shiftright(_outcome, _start) & 1) = 1")
     else:
         filled = F.col("_outcome").bitwiseAND(1) == 1
-    return series.with_df(alone.unionByName(done(walked, filled)))
+    decided = walked.select(*keys, "_seg", "_pos", F.coalesce(filled, F.lit(False)).alias("_filled"))
+    linked = null_safe_join(linked, decided, [*keys, "_seg", "_pos"])
+    return series.with_df(alone.unionByName(done(linked, F.col("_filled"))))
 
 
 def neighbor_means(rows: DataFrame, neighbors: DataFrame, values: DataFrame, ts: str, col: str,
@@ -152,13 +172,16 @@ def neighbor_means(rows: DataFrame, neighbors: DataFrame, values: DataFrame, ts:
 
     ``rows`` needs ``key`` (the sensor), ``ts`` and ``row_id``. Values are summed per
     (sensor, instant) before the join, so it neither multiplies duplicates nor piles
-    them on one task. Rows without any neighbour value are absent.
+    them on one task, and only at the instants that are asked for. Rows without any
+    neighbour value are absent.
     """
     lists = neighbor_lists(neighbors).withColumnRenamed("key1", "key")
     wanted = (lookup_join(rows.select("key", quoted(ts).alias("_at"), *row_id), lists, ["key"], "inner")
               .select(*row_id, "_at", F.explode("neighbors").alias("_other")))
     sums = (values.filter(quoted(col).isNotNull())
-            .groupBy(F.col("key").alias("_other"), quoted(ts).alias("_at"))
+            .select(F.col("key").alias("_other"), quoted(ts).alias("_at"), quoted(col))
+            .join(wanted.select("_other", "_at").distinct(), ["_other", "_at"], "left_semi")
+            .groupBy("_other", "_at")
             .agg(F.sum(quoted(col)).alias("_sum"), F.count("*").alias("_cnt")))
     return (wanted.join(sums, ["_other", "_at"]).groupBy(*row_id)
             .agg((F.sum("_sum") / F.sum("_cnt")).alias("nb_mean")))
@@ -185,14 +208,14 @@ def fill_gap_chunks(series: Series, neighbors: DataFrame, col: str, threshold: f
         F.coalesce(F.min_by("edge_before", "start"), F.max_by("edge_after", "start")).alias("_edge"))
     means = neighbor_means(gaps, neighbors, series.df.withColumn("key", sensor_key(keys)), ts, col,
                            [*keys, "_pos"])
-    filled = gaps.join(means, [*keys, "_pos"], "left").join(
-        pieces.select(*keys, "_seg", "_piece", "run"), [*keys, "_seg", "_piece"], "left")
+    filled = null_safe_join(gaps, means, [*keys, "_pos"], "left")
+    filled = null_safe_join(filled, pieces.select(*keys, "_seg", "_piece", "run"), [*keys, "_seg", "_piece"], "left")
     levels = filled.groupBy(*keys, "run").agg(F.avg("nb_mean").alias("_level"))
-    good = (levels.join(edges, [*keys, "run"])
-            .filter(_finite(F.col("_edge")) & _finite(F.col("_level"))
-                    & (rel_diff("_edge", "_level") <= threshold))
-            .join(pieces, [*keys, "run"]).select(*keys, "_seg", "_piece", F.lit(True).alias("_ok")))
-    filled = filled.join(good, [*keys, "_seg", "_piece"], "left")
+    good = null_safe_join(levels, edges, [*keys, "run"]).filter(
+        _finite(F.col("_edge")) & _finite(F.col("_level")) & (rel_diff("_edge", "_level") <= threshold))
+    good = null_safe_join(pieces, good.select(*keys, "run"), [*keys, "run"], "left_semi").select(
+        *keys, "_seg", "_piece", F.lit(True).alias("_ok"))
+    filled = null_safe_join(filled, good, [*keys, "_seg", "_piece"], "left")
     filled = filled.withColumn(col, F.when(F.col("_ok"), F.col("nb_mean"))).select(
         *[quoted(c) for c in columns])
     return series.with_df(kept.unionByName(filled))
@@ -200,11 +223,11 @@ def fill_gap_chunks(series: Series, neighbors: DataFrame, col: str, threshold: f
 
 def qa_qc_impute(df: DataFrame, ts: str, col: str, k: int = 3, threshold: float = THRESHOLD,
                  keys=SENSOR, tie=(), lat: str = "locationLatitude", lon: str = "locationLongitude",
-                 segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+                 segment_rows: int = SEGMENT_ROWS, longest: int | None = None) -> DataFrame:
     """Treat missing readings according to their overall share and say so in ``impute_flag``.
 
     Below 5 % they are dropped, from 20 % they are left, in between lone gaps and then
-    longer runs are filled.
+    longer runs are filled. ``longest`` is an upper bound of any sensor's rows, if known.
     """
     rate = missing_rate(df, col).first()["missing_rate"]
     if rate is None or rate >= 0.20:
@@ -212,7 +235,7 @@ def qa_qc_impute(df: DataFrame, ts: str, col: str, k: int = 3, threshold: float
     if rate < 0.05:
         return drop_missing(df, col)
     neighbors = nearest_neighbors(distinct_sensors(df, keys, lat, lon), k)
-    series = fill_single_gaps(place_rows(df, ts, keys, tie, segment_rows), col, threshold)
+    series = fill_single_gaps(place_rows(df, ts, keys, tie, segment_rows, longest=longest), col, threshold)
     # Read by the kept rows, the gaps and the neighbours' values: written once.
     series = series.with_df(cut(series.df))
     return fill_gap_chunks(series, neighbors, col, threshold).rows().withColumn(

@@ -1,4 +1,4 @@
-"""Lookups that hold when one key has a large share of the rows."""
+"""Joins to tables with few rows per key, and joins in which null keys match."""
 
 from __future__ import annotations
 
@@ -8,45 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SALTS = 16
-HOT_ROWS = 1_000_000
-
 
 def content_hash(df: DataFrame) -> Column:
     """A hash of the whole row; maps, which have no fixed order, are left out."""
     return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
 
 
-def salt_hot_keys(left: DataFrame, right: DataFrame, on: list[str], hot_rows: int = HOT_ROWS,
-                  salts: int = SALTS) -> tuple[DataFrame, DataFrame]:
-    """Both sides with a ``_salt`` to join on together with ``on``.
-
-    Keys with more than ``hot_rows`` rows on the left are spread over ``salts`` tasks, and
-    only their rows on the right are repeated. The salt depends on the row's content, so a
-    retried task repeats it. The list of hot keys is broadcast; it cannot have more than
-    one key per ``hot_rows`` rows. Rows without a key match nothing and are spread as well.
-    """
-    hot = F.broadcast(left.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
-                      .select(*on, F.lit(True).alias("_hot")))
-    keyless = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in on])
-    spread = F.coalesce(F.col("_hot"), F.lit(False)) | keyless
-    salt = F.pmod(content_hash(left), F.lit(salts)).cast("int")
-    salted = left.withColumn("_all", salt).join(hot, on, "left").withColumn(
-        "_salt", F.when(spread, F.col("_all")).otherwise(0)).drop("_all", "_hot")
-    repeated = right.join(hot, on, "left").withColumn("_salt", F.explode(
-        F.when(F.col("_hot"), F.array(*[F.lit(i) for i in range(salts)])).otherwise(F.array(F.lit(0))))).drop("_hot")
-    return salted, repeated
-
-
-def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
-                hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
+def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join rows of any distribution to a side with few rows per key.
 
-    Hot keys are salted. Neither side gets a broadcast hint: Spark broadcasts the right one
-    when its measured size is small.
+    Each side is used once. No side gets a hint: Spark broadcasts the right one when its
+    measured size is small. Otherwise both are dealt by key, and adaptive execution splits
+    a partition that a hot key makes large into as many tasks as its measured bytes need,
+    each of which reads that key's few rows of the other side. Rows without a key match
+    nothing.
     """
-    salted, repeated = salt_hot_keys(left, right, on, hot_rows, salts)
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return left.join(right, on, how)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:

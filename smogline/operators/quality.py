@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smogline.functions.times import parse_time
-from smogline.functions.values import qc_column_for, quoted
+from smogline.functions.values import nan_to_null, qc_column_for, quoted
 from smogline.schema import SENSOR, MetricSpec
 
 # Suffixes that mark a column as part of a metric.
@@ -68,8 +68,10 @@ def drop_invalid_qc(df: DataFrame, spec: MetricSpec) -> DataFrame:
 
 
 def filter_ranges(df: DataFrame, ranges: dict[str, tuple[float, float]]) -> DataFrame:
+    """Rows whose values lie in their ranges; a missing value, null or NaN, stays."""
     for name, (low, high) in ranges.items():
-        df = df.filter(quoted(name).isNull() | quoted(name).between(low, high))
+        value = nan_to_null(quoted(name).cast("double"))
+        df = df.filter(value.isNull() | value.between(low, high))
     return df
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smogline.functions.labels import LABELS, day_label, floor_day, floor_hour, hour_label
-from smogline.functions.values import quoted
+from smogline.functions.values import nan_to_null, quoted
 from smogline.operators.quality import keep_valid
 from smogline.schema import MIN_PARTS, SENSOR
 
@@ -19,9 +19,9 @@ def rollup_hour(df: DataFrame, ts: str, col: str, min_obs: int = 1, keys=SENSOR)
     """Mean and number of readings per sensor and hour; ``hour`` is the timestamp.
 
     Count and average combine on the map side, so a busy sensor sends one partial
-    row per hour and task. Missing readings count for nothing.
+    row per hour and task. Missing readings, null or NaN, count for nothing.
     """
-    value = quoted(col)
+    value = nan_to_null(quoted(col).cast("double"))
     return (
         df.groupBy(*keys, floor_hour(quoted(ts)).alias("hour"))
         .agg(F.count(value).alias("n_valid"), F.avg(value).alias("metric"))

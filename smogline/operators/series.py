@@ -60,29 +60,37 @@ class Series:
         return framed, window
 
 
+def longest_series(df: DataFrame, keys=SENSOR) -> int:
+    """The most rows any sensor has."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def place_rows(df: DataFrame, ts: str, keys=SENSOR, tie=(), segment_rows: int = SEGMENT_ROWS,
-               block_seconds: int = BLOCK_SECONDS) -> Series:
+               block_seconds: int = BLOCK_SECONDS, longest: int | None = None) -> Series:
     """Number every sensor's rows by time, then by the ``tie`` columns, then by content.
 
+    Rows without a time come last, in blocks given by a hash of their content, so that they
+    can be spread as well; the order is the same whether a series is split or not.
+
     The last makes the order total: computed twice, also on another machine, it is the same.
-    One small job counts rows per sensor. If none exceeds ``segment_rows`` a plain window
-    does. Otherwise rows are numbered within time blocks and shifted by the number of rows
+    One small job counts rows per sensor, unless the caller knows an upper bound
+    (``longest``). If none exceeds ``segment_rows`` a plain window does. Otherwise rows are numbered within time blocks and shifted by the number of rows
     in earlier blocks. The shifts come from block counts in two steps (blocks within a
     group, groups within a sensor), so no task sees more than a small share of them.
     """
     keys = tuple(keys)
     rows = df.withColumn("_tie", content_hash(df))
-    order = (quoted(ts).asc_nulls_last(), *tie, F.col("_tie"))
-    longest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    lot = F.pmod(F.col("_tie"), F.lit(BLOCKS_PER_GROUP))
+    order = (quoted(ts).asc_nulls_last(), F.when(quoted(ts).isNull(), lot), *tie, F.col("_tie"))
+    if longest is None:
+        longest = longest_series(df, keys)
     if longest <= segment_rows:
         # Later windows sort by the same columns, so the one sort made here serves them all.
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         placed = rows.withColumn("_pos", number.cast("bigint") - 1).withColumn("_seg", F.lit(0).cast("bigint"))
         return Series(placed, ts, keys, order, None)
 
-    # Rows without a time come last in no particular order, so they may be spread freely.
-    timeless = F.lit(2**61) + F.pmod(F.col("_tie"), F.lit(BLOCKS_PER_GROUP))
-    block = F.coalesce(F.floor(F.unix_micros(quoted(ts)) / (block_seconds * 1_000_000)), timeless).cast("bigint")
+    block = F.coalesce(F.floor(F.unix_micros(quoted(ts)) / (block_seconds * 1_000_000)), F.lit(2**61) + lot).cast("bigint")
     rows = rows.withColumn("_block", block)
     counts = (rows.groupBy(*keys, "_block").agg(F.count("*").alias("_n"))
               .withColumn("_group", F.floor(F.col("_block") / BLOCKS_PER_GROUP)))
@@ -110,13 +118,13 @@ def rolling_sd(series: Series, col: str, before: int = 5, after: int = 5, name:
 
 
 def drop_flatline(df: DataFrame, ts: str, col: str, before: int = 5, after: int = 5, keys=SENSOR, tie=(),
-                  segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+                  segment_rows: int = SEGMENT_ROWS, longest: int | None = None) -> DataFrame:
     """Drop rows whose surrounding values have no spread at all.
 
     Zero deviation is the same as two or more values with equal minimum and maximum,
     a test that rounding cannot disturb.
     """
-    series = place_rows(df, ts, keys, tie, segment_rows)
+    series = place_rows(df, ts, keys, tie, segment_rows, longest=longest)
     framed, window = series.framed(max(before, after))
     around = window.rowsBetween(-before, after)
     value = quoted(col)

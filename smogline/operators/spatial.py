@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from smogline.functions.geo import haversine_km, sensor_key
 from smogline.functions.values import quoted
-from smogline.operators.joins import HOT_ROWS, lookup_join, salt_hot_keys
+from smogline.operators.joins import lookup_join
 from smogline.schema import SENSOR
 from smogline.session import cut
 
@@ -19,6 +19,7 @@ FINEST = 21
 FIRST_LEVEL = 3
 LEVEL_STEP = 2
 LEAF_ROWS = 512
+PAIRS_PER_TASK = 20_000
 
 
 def distinct_sensors(df: DataFrame, keys=SENSOR, lat: str = "locationLatitude",
@@ -64,21 +65,25 @@ def _on_grid(kept: DataFrame) -> tuple[DataFrame, dict[str, float]]:
     # Written once: the cells below must all be computed from the very same coordinates.
     ball = cut(kept.select("*", (F.cos(lat) * F.cos(lon)).alias("bx"), (F.cos(lat) * F.sin(lon)).alias("by"),
                            F.sin(lat).alias("bz")))
-    middle = ball.agg(*[F.avg(f"b{a}").alias(a) for a in AXES]).first()
-    if middle["x"] is None:
-        middle = {"x": 0.0, "y": 0.0, "z": 1.0}
-    size = math.sqrt(sum(middle[a] ** 2 for a in AXES))
+    found = ball.agg(*[f(f"b{a}").alias(f"{n}_{a}") for a in AXES for n, f in (("mid", F.avg), ("lo", F.min), ("hi", F.max))],
+                     F.count("*").alias("rows")).first()
+    middle = {a: found[f"mid_{a}"] or 0.0 for a in AXES}
+    size = math.sqrt(sum(v ** 2 for v in middle.values()))
     up = [middle[a] / size for a in AXES] if size > 1e-6 else [0.0, 0.0, 1.0]
     flat = math.hypot(up[0], up[1])
     east = [-up[1] / flat, up[0] / flat, 0.0] if flat > 1e-9 else [1.0, 0.0, 0.0]
     north = [up[1] * east[2] - up[2] * east[1], up[2] * east[0] - up[0] * east[2], up[0] * east[1] - up[1] * east[0]]
+    # The corners of the box before turning bound the coordinates after it.
+    sides = [(found[f"lo_{a}"] or 0.0, found[f"hi_{a}"] or 0.0) for a in AXES]
+    box = {"rows": found["rows"]}
+    for a, direction in zip(AXES, (east, north, up)):
+        ends = [sorted((lo * w, hi * w)) for (lo, hi), w in zip(sides, direction)]
+        box[f"lo_{a}"], box[f"hi_{a}"] = sum(e[0] for e in ends), sum(e[1] for e in ends)
     points = ball.select(*kept.columns, *[
         sum((F.col(f"b{b}") * w for b, w in zip(AXES, direction)), F.lit(0.0)).alias(a)
         for a, direction in zip(AXES, (east, north, up))])
-    box = points.agg(*[f(a).alias(f"{n}_{a}") for a in AXES for n, f in (("lo", F.min), ("hi", F.max))],
-                     F.count("*").alias("rows")).first()
-    low = {a: box[f"lo_{a}"] or 0.0 for a in AXES}
-    extent = {a: (box[f"hi_{a}"] or 0.0) - low[a] for a in AXES}
+    low = {a: box[f"lo_{a}"] for a in AXES}
+    extent = {a: box[f"hi_{a}"] - low[a] for a in AXES}
     width = max(*extent.values(), 1e-9) * (1 + 1e-9)
     top = (1 << FINEST) - 1
     cells = [F.greatest(F.least(F.floor((F.col(a) - low[a]) / width * (1 << FINEST)), F.lit(top)), F.lit(0))
@@ -93,8 +98,10 @@ def nearest_neighbors(sensors: DataFrame, k: int = 3, leaf_rows: int = LEAF_ROWS
     the smallest. Order is by distance, then key. The result is exact and no all-pairs
     join happens: pairs of grid cells are refined from coarse to fine. At each level a
     cell drops partners that are farther than partners already holding ``k + 1`` sensors,
-    and once a cell's partners hold few sensors their points are compared. Any crowding
-    is met by finer cells, and sensors at one place are handled as one place.
+    and once a cell's partners hold few sensors their points are compared. Levels that
+    cannot be fine enough, going by the number of places, are passed in one plan; only cells
+    that are still crowded then go on level by level. Any crowding is met by finer cells,
+    and sensors at one place are handled as one place.
     """
     one, kept = _places(sensors, k)
     points, extent = _on_grid(kept)
@@ -105,6 +112,8 @@ def nearest_neighbors(sensors: DataFrame, k: int = 3, leaf_rows: int = LEAF_ROWS
     if extent["rows"] <= leaf_rows:
         whole = pairs.withColumn("_reach", F.lit(None).cast("double"))
         return _per_sensor(one, _compare(points, whole, 0, k), k)
+    # Evenly spread over a plane, a cell's 25 or so partners hold few enough rows from this level on.
+    enough = math.log(25 * extent["rows"] / leaf_rows, 4)
     # Cells of one level are the parents of the next; the first level has 8 cells per axis.
     for level in range(FIRST_LEVEL, FINEST + 1, LEVEL_STEP):
         step = FIRST_LEVEL if level == FIRST_LEVEL else LEVEL_STEP
@@ -125,11 +134,13 @@ def nearest_neighbors(sensors: DataFrame, k: int = 3, leaf_rows: int = LEAF_ROWS
                  .filter(F.col("_reach").isNull() | (F.col("_low") <= F.col("_reach") * (1 + 1e-6)))
                  .withColumn("_rows", F.sum("n").over(partners))
                  .select(*q, *c, "_reach", "_rows"))
+        if level + LEVEL_STEP <= min(enough + 1, FINEST):
+            continue
         pairs = cut(pairs)
-        size = pairs.agg(F.min("_rows").alias("least"), F.max("_rows").alias("most")).first()
+        size = pairs.agg(F.min("_rows").alias("least"), F.max("_rows").alias("most"), F.count("*").alias("n")).first()
         last = level + LEVEL_STEP > FINEST or (size["most"] or 0) <= leaf_rows
         if last or size["least"] <= leaf_rows:
-            found.append(_compare(points, pairs if last else pairs.filter(F.col("_rows") <= leaf_rows), level, k))
+            found.append(_compare(points, pairs if last else pairs.filter(F.col("_rows") <= leaf_rows), level, k, size["n"]))
         if last:
             break
         pairs = pairs.filter(F.col("_rows") > leaf_rows)
@@ -147,15 +158,15 @@ def _per_sensor(one: DataFrame, near: DataFrame, k: int) -> DataFrame:
         (F.col("rn") + 1).cast("bigint").alias("rn"))
 
 
-def _compare(points: DataFrame, pairs: DataFrame, level: int, k: int) -> DataFrame:
+def _compare(points: DataFrame, pairs: DataFrame, level: int, k: int, n_pairs: int = 1) -> DataFrame:
     """The ``k + 1`` nearest sensors of each place among the cells paired with its own."""
     places = points.select("lat", "lon", *AXES, *_cell("q", level)).distinct()
     others = points.select(F.col("key").alias("key2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"),
                            *[F.col(a).alias(f"{a}2") for a in AXES], *_cell("c", level))
     chord = reduce(lambda s, d: s + d * d, [F.col(a) - F.col(f"{a}2") for a in AXES], F.lit(0.0))
-    # Each pair stands for many comparisons, more work than its bytes suggest: a given
-    # number of partitions keeps Spark from joining them into few tasks.
-    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Each pair stands for many comparisons, more work than its bytes suggest: a number of
+    # partitions that follows the pairs keeps Spark from joining them into few tasks.
+    tasks = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_pairs // PAIRS_PER_TASK))
     reached = (pairs.repartition(tasks, *_names("q")).join(places, _names("q")).join(others, _names("c"))
                .filter(F.col("_reach").isNull() | (chord <= F.col("_reach") * (1 + 1e-6)))
                .select("lat", "lon", "key2", haversine_km("lat", "lon", "lat2", "lon2").alias("dist_km")))
@@ -213,26 +224,23 @@ def _lies_on(e: Column, x: Column, y: Column) -> Column:
 
 
 def assign_regions(points: DataFrame, edges: DataFrame, columns: list[str],
-                   lon: str = "locationLongitude", lat: str = "locationLatitude",
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+                   lon: str = "locationLongitude", lat: str = "locationLatitude") -> DataFrame:
     """Add the properties of the region holding each point.
 
     Points outside every region, or exactly on a border, keep nulls; a point in two
     overlapping regions appears twice. Even-odd counting over all rings makes holes and
-    multipolygons work. Points meet only the strips of their own grid cell, and points
-    crowding one cell are salted.
+    multipolygons work. Points are read once and meet only the strips of their own grid
+    cell; adaptive execution splits a cell that holds many of them.
     """
     strips, tall, wide = region_cells(edges, columns)
     x, y = quoted(lon), quoted(lat)
     placed = points.withColumn("gx", F.floor(x / wide)).withColumn("gy", F.floor(y / tall))
     strips = strips.select(*[F.col(c).alias(f"_r_{c}") for c in columns], "_edges", "_xmin", "_xmax", "gx", "gy")
-    placed, strips = salt_hot_keys(placed, strips, ["gx", "gy"], hot_rows)
-    strips = strips.withColumnsRenamed({c: f"_s_{c}" for c in ("gx", "gy", "_salt")})
+    strips = strips.withColumnsRenamed({c: f"_s_{c}" for c in ("gx", "gy")})
     inside = (F.size(F.filter("_edges", lambda e: _meets_ray(e, x, y))) % 2 == 1) \
         & ~F.exists("_edges", lambda e: _lies_on(e, x, y))
     joined = placed.join(
         strips, (F.col("gx") == F.col("_s_gx")) & (F.col("gy") == F.col("_s_gy"))
-        & (F.col("_salt") == F.col("_s__salt"))
         & x.between(F.col("_xmin"), F.col("_xmax")) & inside, "left")
     return joined.select(*[quoted(c) for c in points.columns],
                          *[F.col(f"_r_{c}").alias(c) for c in columns])

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from smogline.functions.times import parse_time
-from smogline.functions.values import calibrate_pm25, quoted
+from smogline.functions.values import calibrate_pm25, nan_to_null, quoted
 from smogline.operators.impute import qa_qc_impute
 from smogline.operators.quality import drop_invalid_qc, filter_ranges, metric_as
 from smogline.operators.rollup import rollup_all
-from smogline.operators.series import drop_flatline
+from smogline.operators.series import drop_flatline, longest_series
 from smogline.schema import HUMIDITY_RAW, PLAUSIBLE, PM25_CALIBRATED, PM25_RAW, MetricSpec
 from smogline.session import cut
 
@@ -38,9 +38,11 @@ def prepare_minute_pm25(df: DataFrame, segment_rows: int | None = None) -> DataF
     plausible = filter_ranges(df, PLAUSIBLE)
     if dict(plausible.dtypes)["time"] == "string":
         plausible = plausible.withColumn("time", parse_time("time"))
-    # Written once: the missing share, the sensors and the filling all read it.
-    lively = cut(drop_flatline(plausible, "time", PM25_RAW, **sized))
-    filled = qa_qc_impute(lively, "time", PM25_RAW, **sized)
+    # Written once: the missing share, the sensors and the filling all read it. A filter only
+    # shortens series, so the length counted before serves all that follows.
+    longest = longest_series(plausible)
+    lively = cut(drop_flatline(plausible, "time", PM25_RAW, longest=longest, **sized))
+    filled = qa_qc_impute(lively, "time", PM25_RAW, longest=longest, **sized)
     return filled.withColumn(PM25_CALIBRATED, calibrate_pm25(quoted(PM25_RAW), quoted(HUMIDITY_RAW)))
 
 
@@ -59,9 +61,11 @@ register_cleaner("minute_pm25", clean_minute_pm25)
 
 
 def clean(df: DataFrame, spec: MetricSpec) -> DataFrame:
+    """Run the metric's cleaner; NaN counts as missing from here on."""
     if spec.cleaner not in CLEANERS:
         raise LookupError(f"no cleaner named {spec.cleaner!r}")
-    return CLEANERS[spec.cleaner](df, spec)
+    missing = {c: nan_to_null(quoted(c)) for c, kind in df.dtypes if kind in ("double", "float")}
+    return CLEANERS[spec.cleaner](df.withColumns(missing), spec)
 
 
 __all__ = ["CLEANERS", "clean", "clean_hourly", "clean_minute_pm25", "prepare_minute_pm25",

@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smogline.functions.labels import LABELS, day_label
-from smogline.operators.dataset import filter_type, pivot_cells, sensor_cells, type_offsets
-from smogline.operators.quality import filter_time, rename_columns, select_metrics
+from smogline.functions.values import qc_column_for, quoted
+from smogline.operators.dataset import pivot_cells, sensor_cells
+from smogline.operators.joins import null_safe_join
+from smogline.operators.quality import filter_time, keep_valid, rename_columns, select_metrics, validity_summary
 from smogline.operators.rollup import label_days, rollup_day, rollup_days
 from smogline.plans.cleaners import clean
-from smogline.plans.store import in_partitions, merge_into_store, read_store
-from smogline.schema import CELL, DEFAULT_METRICS, METRICS, MIN_PARTS, MetricSpec
-from smogline.session import cut
+from smogline.plans.locations import update_locations
+from smogline.plans.store import merge_into_store, read_store, store_offsets
+from smogline.schema import CELL, DEFAULT_METRICS, METRICS, MIN_PARTS, SENSOR, SOURCE_CELL, MetricSpec
+from smogline.session import cut, scratch_scope
 from smogline.sources.sinks import write_type_offsets
 
 log = logging.getLogger(__name__)
@@ -34,33 +37,77 @@ def requested_metrics(names=None) -> list[MetricSpec]:
     return [METRICS[n] for n in names if n in METRICS]
 
 
-def metric_cells(spec: MetricSpec, source: DataFrame, start=None, end=None, groups=None) -> DataFrame:
-    """Valid periods of one metric as store cells."""
+def metric_periods(spec: MetricSpec, source: DataFrame, start=None, end=None, groups=None) -> DataFrame:
+    """Valid periods of one metric per sensor, at every level."""
     chosen = select_metrics(source, spec.metric_select, METRIC_GROUPS if groups is None else groups)
     ranged = filter_time(chosen, spec.time_column, start, end)
-    return sensor_cells(rename_columns(clean(ranged, spec), spec.rename_columns), spec.name)
+    return rename_columns(clean(ranged, spec), spec.rename_columns)
+
+
+def metric_cells(spec: MetricSpec, source: DataFrame, start=None, end=None, groups=None) -> DataFrame:
+    """Valid periods of one metric as store cells."""
+    return sensor_cells(metric_periods(spec, source, start, end, groups), spec.name)
+
+
+def quality_counts(spec: MetricSpec, source: DataFrame) -> DataFrame:
+    """Rows before and after the quality filter, in one pass over the readings."""
+    kept = F.lit(True)
+    if spec.drops_invalid:
+        kept = ~quoted(qc_column_for(spec.col_name)).eqNullSafe(F.lit("invalid"))
+    return source.agg(F.count("*").alias("rows_all"), F.count_if(kept).alias("rows_kept"))
+
+
+def source_cells(periods: DataFrame, metric: str, types=("hour", "day")) -> DataFrame:
+    """Hours and days of every single source, from which longer periods can be made again."""
+    return (periods.filter(F.col("type").isin(*types) & quoted(metric).isNotNull())
+            .select(*SOURCE_CELL, quoted(metric).alias("value")))
+
+
+def sources_of(store: str) -> str:
+    """Where a store keeps the hours and days of single sources."""
+    return f"{store}.sources"
 
 
 def run_metric(spark: SparkSession, spec: MetricSpec, source: DataFrame, store: str, start=None, end=None,
-               groups=None, refresh: bool = False) -> DataFrame:
+               groups=None, refresh: bool = False, count_rows: bool = False) -> DataFrame:
     """Clean ``source``, merge it into the store and renew its offset index.
 
     Periods above hours come from the given readings alone, as a run over a whole period
     would have them. With ``refresh`` the periods that the new hours fall in are computed
-    again from all stored hours, and those no longer valid are removed.
+    again from all stored hours, and those no longer valid are removed. Hours and days of
+    single sources are kept beside the store: of a datasource's sources one is chosen only
+    after the rollup, never mixed. ``count_rows`` logs rows before and after the quality filter and the
+    valid periods, which takes a pass over the readings. What the run wrote for itself is removed.
     """
-    cells = metric_cells(spec, source, start, end, groups)
-    cells = cut(filter_type(cells, "hour") if refresh else cells)
-    merge_into_store(spark, cells, store)
-    if refresh:
-        refresh_periods(spark, store, cells)
-    stored = read_store(spark, store)
-    write_type_offsets(type_offsets(stored.select("type", "date").distinct()), f"{store}.index.json")
-    return stored
+    with scratch_scope(spark):
+        if count_rows:
+            ranged = filter_time(source, spec.time_column, start, end)
+            log.info("%s: %s", spec.name, quality_counts(spec, ranged).first().asDict())
+        periods = cut(metric_periods(spec, source, start, end, groups))
+        if count_rows:
+            log.info("%s: %s", spec.name, {r["type"]: r["rows_valid"] for r in validity_summary(periods).collect()})
+        if refresh:
+            merge_hours(spark, cut(source_cells(periods, spec.name, ("hour",))), store)
+        else:
+            merge_into_store(spark, cut(source_cells(periods, spec.name)), sources_of(store), keys=SOURCE_CELL)
+            merge_into_store(spark, cut(sensor_cells(periods, spec.name)), store)
+            write_type_offsets(store_offsets(spark, store), f"{store}.index.json")
+    return read_store(spark, store)
 
 
 def run_metrics(spark: SparkSession, source_of: Callable[[MetricSpec], DataFrame], root: str, names=None,
-                **options) -> dict[str, DataFrame]:
+                window: tuple | None = None, locations: dict | None = None, **options) -> dict[str, DataFrame]:
+    """Every requested metric into a store below ``root``.
+
+    ``window`` is a ``[start, end)`` as ``run_window`` gives it. ``locations`` holds the arguments of
+    ``locations.update_locations`` but for the readings; each metric's readings then renew the
+    location table, as far as they lie in the window.
+    """
+    if window is not None:
+        options = {**options, "start": window[0], "end": window[1]}
+    for spec in requested_metrics(names) if locations is not None else ():
+        update_locations(spark, measurements=filter_time(source_of(spec), spec.time_column, options.get("start"), options.get("end")),
+                         **locations)
     return {spec.name: run_metric(spark, spec, source_of(spec), f"{root}/{spec.name}", **options)
             for spec in requested_metrics(names)}
 
@@ -79,28 +126,46 @@ def touched_periods(hour_cells: DataFrame) -> DataFrame:
             .select("p.type", "p.date", "datasourceId").distinct())
 
 
+def merge_hours(spark: SparkSession, hours: DataFrame, store: str, limits=None) -> None:
+    """Merge hours of single sources (type, date, datasourceId, sourceId, value) and renew all they touch."""
+    merge_into_store(spark, hours, sources_of(store), keys=SOURCE_CELL)
+    refresh_periods(spark, store, hours, limits)
+    write_type_offsets(store_offsets(spark, store), f"{store}.index.json")
+
+
 def refresh_periods(spark: SparkSession, store: str, hour_cells: DataFrame, limits=None) -> None:
     """Recompute from stored hours every period that ``hour_cells`` touch.
 
-    Reads the hour partitions of the touched years and the months that their first
-    winter and last week or winter reach into, nothing else.
+    Touched days come from the hours of their months. Longer periods come from the stored days
+    of the touched years and of the months that their first winter and last week or winter
+    reach into. Hours outside the touched months are not read.
     """
-    limits = {**MIN_PARTS, **(limits or {})}
+    limits, sources = {**MIN_PARTS, **(limits or {})}, sources_of(store)
     touched = cut(touched_periods(hour_cells))
-    years = sorted(int(r["y"]) for r in hour_cells.filter("type = 'hour'")
-                   .select(F.substring("date", 1, 4).alias("y")).distinct().collect())
-    months = {("hour", f"{y:04d}-{m:02d}") for y in years for m in range(1, 13)}
-    months |= {("hour", f"{y - 1:04d}-12") for y in years}
-    months |= {("hour", f"{y + 1:04d}-{m:02d}") for y in years for m in (1, 2)}
-    keys = ["datasourceId"]
-    hours = (in_partitions(read_store(spark, store), months)
-             .join(touched.select(*keys).distinct(), keys, "left_semi")
-             .select(*keys, F.col("date").cast("timestamp").alias("hour"), F.col("value").alias("metric"),
-                     F.lit(True).alias("is_valid")))
-    days = rollup_day(hours, limits["day"], keys)
-    upper = rollup_days(days, {t: limits[t] for t in LABELS}, keys)
-    columns = [*CELL, "metric", "is_valid"]
-    cells = (upper.select(*columns).unionByName(label_days(days, keys).select(*columns))
-             .filter("is_valid").withColumnRenamed("metric", "value").drop("is_valid")
-             .join(touched, CELL, "left_semi"))
+    days_touched = touched.filter("type = 'day'")
+    months = {r["m"] for r in days_touched.select(F.substring("date", 1, 7).alias("m")).distinct().collect()}
+
+    def stored(period_type: str, months: set[str]) -> DataFrame:
+        cells = read_store(spark, sources, {(period_type, m) for m in months}, SOURCE_CELL)
+        of_touched = null_safe_join(cells, touched.select("datasourceId").distinct(), ["datasourceId"], "left_semi")
+        return of_touched.select(*SENSOR, "date", F.col("value").alias("metric"), F.lit(True).alias("is_valid"))
+
+    hours = cut(null_safe_join(stored("hour", months).withColumn("_day", day_label(F.col("date").cast("timestamp"))),
+                               days_touched.select("datasourceId", F.col("date").alias("_day")), ["datasourceId", "_day"], "left_semi"))
+    days = keep_valid(label_days(rollup_day(hours.select(*SENSOR, F.col("date").cast("timestamp").alias("hour"), "metric", "is_valid"),
+                                            limits["day"])))
+    days = cut(source_cells(days, "metric"))
+    merge_into_store(spark, days, sources, replace=days_touched, keys=SOURCE_CELL)
+
+    years = {int(m[:4]) for m in months}
+    around = {f"{y:04d}-{m:02d}" for y in years for m in range(1, 13)}
+    around |= {f"{y - 1:04d}-12" for y in years} | {f"{y + 1:04d}-{m:02d}" for y in years for m in (1, 2)}
+    all_days = stored("day", around).select(*SENSOR, F.col("date").cast("timestamp").alias("day"), "metric", "is_valid")
+    upper = keep_valid(rollup_days(all_days, {t: limits[t] for t in LABELS}))
+    upper = null_safe_join(upper, touched, CELL, "left_semi")
+    # hours that were given may not be the ones that count: another source of the datasource may rank higher
+    given = hour_cells.filter("type = 'hour'").select(*CELL).distinct()
+    now = hours.select(*SENSOR, F.lit("hour").alias("type"), "date", "metric")
+    now = null_safe_join(now, given, CELL, "left_semi").unionByName(days.select(*SOURCE_CELL, F.col("value").alias("metric")))
+    cells = sensor_cells(now.unionByName(upper.select(*SOURCE_CELL, "metric")))
     merge_into_store(spark, cut(cells), store, replace=touched)

@@ -2,103 +2,74 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smogline.operators.dataset import upsert_measurements
-from smogline.schema import CELL, CELLS, struct
-from smogline.sources.measurements import read_dataset_or_empty
+from smogline.operators.joins import null_safe_join
+from smogline.schema import CELL, CELLS, SOURCE_CELL, SOURCE_CELLS, TYPE_ORDER, struct
+from smogline.sources import versions
 
-STORED = struct(**{f.name: f.dataType for f in CELLS.fields}, bucket=CELLS["date"].dataType)
 PARTITIONS = ["type", "bucket"]
 
 
+def stored_schema(keys=CELL):
+    cells = SOURCE_CELLS if list(keys) == SOURCE_CELL else CELLS
+    return struct(**{f.name: f.dataType for f in cells.fields}, bucket=cells["date"].dataType)
+
+
+STORED = stored_schema()
+
+
 def with_bucket(cells: DataFrame) -> DataFrame:
     """Month of hours and days, year of everything longer: the unit an upsert rewrites."""
     fine = F.col("type").isin("hour", "day")
     return cells.withColumn("bucket", F.when(fine, F.substring("date", 1, 7)).otherwise(F.substring("date", 1, 4)))
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """Every cell with a value. Cells emptied by ``replace`` are kept as nulls in the files."""
-    return (read_dataset_or_empty(spark, path, STORED, enforce=True)
-            .select(*CELL, "value", "bucket").filter(F.col("value").isNotNull()))
+def read_store(spark: SparkSession, path: str, pairs=None, keys=CELL) -> DataFrame:
+    """Every cell, or those of the (type, bucket) ``pairs``: no other folder is listed or read."""
+    return versions.read(spark, path, stored_schema(keys), PARTITIONS, pairs).select(*keys, "value", "bucket")
 
 
-def touched_partitions(cells: DataFrame):
+def touched_partitions(cells: DataFrame) -> set[tuple]:
     """The (type, bucket) pairs of new cells; their number is bounded by the calendar."""
-    return [(r["type"], r["bucket"]) for r in cells.select(*PARTITIONS).distinct().collect()]
-
-
-def in_partitions(df: DataFrame, pairs) -> DataFrame:
-    """Only these partitions, as literals, so that no other folder is listed or read."""
-    by_type: dict[str, list[str]] = {}
-    for period_type, bucket in pairs:
-        by_type.setdefault(period_type, []).append(bucket)
-    keep = F.lit(False)
-    for period_type, buckets in by_type.items():
-        keep = keep | ((F.col("type") == period_type) & F.col("bucket").isin(*buckets))
-    return df.filter(keep)
+    return {(r["type"], r["bucket"]) for r in cells.select(*PARTITIONS).distinct().collect()}
 
 
-def merge_into_store(spark: SparkSession, new: DataFrame, path: str, replace: DataFrame | None = None) -> None:
-    """Upsert cells, rewriting only the partitions they touch. One writer at a time.
+def merge_into_store(spark: SparkSession, new: DataFrame, path: str, replace: DataFrame | None = None, keys=CELL) -> None:
+    """Upsert cells, writing only the partitions they touch, once each. One writer at a time.
 
-    The merged partitions are staged beside the store and then published. A run that stops
-    before staging is complete has changed nothing; one that stops while publishing is
-    finished by the next run. ``new`` is read more than once, so it should be stored rows
-    (see ``cut``) and not a long computation. ``replace`` names cells (type, date,
-    datasourceId) whose old value must not survive.
+    Readers see the store before or after. A run that stops on the way has changed nothing,
+    and what it left is removed by the next one that touches the same partitions. ``new`` is
+    read more than once, so it should be stored rows (see ``cut``) and not a long
+    computation. ``replace`` names cells (type, date, datasourceId) whose old values must
+    not survive.
     """
-    finish_pending(spark, path)
-    staging = f"{path}.staging/{uuid.uuid4().hex}"
-    if stage(spark, new, path, staging, replace):
-        finish_pending(spark, path)
-
-
-def stage(spark: SparkSession, new: DataFrame, path: str, staging: str, replace: DataFrame | None = None) -> bool:
-    """Write the merged form of the touched partitions to ``staging``; False if there are none."""
-    new = with_bucket(new)
-    pairs = set(touched_partitions(new))
+    new, keys = with_bucket(new), list(keys)
+    pairs = touched_partitions(new)
+    gone = None
     if replace is not None:
         gone = with_bucket(replace).select(*CELL, "bucket").distinct()
-        pairs |= set(touched_partitions(gone))
+        pairs |= touched_partitions(gone)
     if not pairs:
-        return False
-    old = in_partitions(read_store(spark, path), pairs)
-    if replace is not None:
-        old = (old.join(gone.select(*CELL, F.lit(True).alias("_gone")), CELL, "left")
-               .withColumn("value", F.when(F.col("_gone").isNull(), F.col("value"))).drop("_gone"))
-    merged = with_bucket(upsert_measurements(old, new))
-    # Rebalancing splits a crowded bucket and joins small ones by their measured size.
-    (merged.hint("rebalance", *PARTITIONS)
-     .sortWithinPartitions(F.col("type"), F.col("date").desc(), "datasourceId")
-     .write.mode("overwrite").option("compression", "zstd").partitionBy(*PARTITIONS).parquet(staging))
-    return True
-
-
-def finish_pending(spark: SparkSession, path: str) -> None:
-    """Publish what was staged completely and drop what was not."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(f"{path}.staging")
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(root):
         return
-    for status in files.listStatus(root):
-        staged = status.getPath()
-        if files.exists(jvm.org.apache.hadoop.fs.Path(staged, "_SUCCESS")):
-            publish(spark, staged.toString(), path)
-        files.delete(staged, True)
-
-
-def publish(spark: SparkSession, staging: str, path: str) -> None:
-    """Replace the staged partitions in the store, leaving all others as they are."""
-    staged = spark.read.schema(STORED).parquet(staging)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("compression", "zstd").partitionBy(*PARTITIONS).parquet(path))
-
+    old = read_store(spark, path, pairs, keys)
+    if gone is not None:
+        old = null_safe_join(old, gone.select(*CELL), CELL, "left_anti")
+    merged = with_bucket(upsert_measurements(old, new, keys)).filter(F.col("value").isNotNull())
+    versions.write(merged.select(*stored_schema(keys).names), path, PARTITIONS,
+                   [F.col("date").desc(), *[k for k in keys if k not in ("type", "date")]], pairs)
+
+
+def store_offsets(spark: SparkSession, path: str) -> DataFrame:
+    """First row of each type in the latest-first matrix, from the counts kept per partition; 0 for absent types."""
+    dates = dict.fromkeys(TYPE_ORDER[::-1], 0)
+    for part in versions.parts(spark, path):
+        dates[part.values[0]] += part.dates
+    firsts, total = [], 0
+    for period_type, n in dates.items():
+        firsts.append((period_type, total if n else 0))
+        total += n
+    return spark.createDataFrame(firsts, "type string, first_row bigint")
 
-__all__ = ["STORED", "finish_pending", "in_partitions", "merge_into_store", "publish", "read_store", "stage",
-           "touched_partitions", "with_bucket"]

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 SENSOR = ["datasourceId", "sourceId"]
 CELL = ["type", "date", "datasourceId"]
+SOURCE_CELL = [*CELL, "sourceId"]
 
 # Period types from the coarsest to the finest.
 TYPE_ORDER = ["year", "season", "month", "week", "day", "hour"]
@@ -36,6 +37,7 @@ PLAUSIBLE = {
 # A period is valid when it has more than this many valid parts.
 MIN_PARTS = {"day": 20, "week": 5, "month": 21, "season": 60, "year": 250}
 
+# The columns of the location table.
 LOCATION_COLUMNS = [
     "datasourceId", "sourceId", "currentSourceId", "sourceType",
     "locationLatitude", "locationLongitude", "name", "group", "tags",
@@ -73,6 +75,7 @@ PERIODS = struct(
 )
 
 CELLS = struct(type=_S, date=_S, datasourceId=_S, value=_D)
+SOURCE_CELLS = struct(type=_S, date=_S, datasourceId=_S, sourceId=_S, value=_D)
 
 LOCATIONS = T.StructType([
     T.StructField(c, _D if c.startswith("location") else T.ArrayType(_S) if c == "tags" else _S, True)
@@ -127,18 +130,7 @@ METRICS = {
                    metric_select="only :no2", qc=True, rename_columns=_HOURLY_RENAMES),
         MetricSpec("mean_pm25", "pm2_5ConcMassIndividual.value",
                    output_frequency="minute", metric_select="only :pm25 + :internal",
-                   min_obs_per_hour=3, cleaner="minute_pm25", qc=True,
-                   rename_columns={
-                       "time": "date", "hour": "date", "week": "date", "month": "date",
-                       "season": "date", "year": "date", "date": "date",
-                       "n_obs": "n_valid", "n_valid_hours": "n_valid", "n_valid_days": "n_valid",
-                       "is_valid": "is_valid", "is_valid_day": "is_valid",
-                       "is_valid_week": "is_valid", "is_valid_month": "is_valid",
-                       "is_valid_season": "is_valid", "is_valid_year": "is_valid",
-                       "mean_pm25": "mean_pm25", "daily_mean_pm25": "mean_pm25",
-                       "weekly_mean_pm25": "mean_pm25", "monthly_mean_pm25": "mean_pm25",
-                       "seasonal_mean_pm25": "mean_pm25", "yearly_mean_pm25": "mean_pm25",
-                   }),
+                   min_obs_per_hour=3, cleaner="minute_pm25", qc=True),
     ]
 }
 

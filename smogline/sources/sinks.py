@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smogline.functions.features import decimals_to_double
-from smogline.functions.labels import type_rank
+from smogline.sources import versions
 
 log = logging.getLogger(__name__)
 
@@ -22,9 +22,10 @@ def write_dataset(df: DataFrame, path: str, codec: str = "zstd") -> None:
     """Compressed Parquet, one folder per period type, newest rows first in every file.
 
     Range partitioning on (type, date, sensor) spreads even one period with very many
-    sensors over all tasks; min/max statistics then let readers skip old row groups.
+    sensors over all tasks; min/max statistics then let readers skip old row groups. The
+    order begins with the folder's column: the writer would sort again by that alone.
     """
-    keys = [type_rank().desc(), F.col("date").desc()]
+    keys = [F.col("type").asc(), F.col("date").desc()]
     if "datasourceId" in df.columns:
         keys.append(F.col("datasourceId").asc())
     (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
@@ -55,9 +56,22 @@ def csv_to_json(spark: SparkSession, source, target: str, schema=None) -> None:
 
 
 def snapshot_dataset(spark: SparkSession, sources: dict[str, str], root: str, stamp: str) -> str:
-    """Copy the named datasets below ``root/snapshot_ts=<stamp>``; an existing copy is refused."""
+    """Copy the named datasets below ``root/snapshot_ts=<stamp>``; an existing copy is refused.
+
+    Of a versioned table the current folders are copied, and the copy is such a table again.
+    """
     target = f"{root}/snapshot_ts={stamp}"
     for name, path in sources.items():
+        if versions.is_versioned(spark, path):
+            if versions.is_versioned(spark, f"{target}/{name}"):
+                raise FileExistsError(f"{target}/{name}")
+            found = versions.parts(spark, path)
+            columns = STORE_FOLDERS[:len(found[0].values)] if found else ()
+            schema = versions.schema_of(spark, path, list(columns))
+            copied = versions.read(spark, path, schema, list(columns))
+            order = [F.col("date").desc()] if "date" in schema.names else []
+            versions.write(copied, f"{target}/{name}", list(columns), order, {p.values for p in found})
+            continue
         found = spark.read.parquet(path).schema
         folders = [c for c in STORE_FOLDERS if c in found.names]
         # Folder names are text; left to itself Spark would read some of them as numbers or dates.

@@ -5,21 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from smogline.operators.dataset import sensor_cells
-from smogline.operators.quality import keep_valid
+from smogline.operators.quality import drop_invalid_qc, keep_valid
 from smogline.operators.rollup import label_hours
-from smogline.plans.store import merge_into_store
-from smogline.session import cut
+from smogline.plans.metric_run import merge_hours, source_cells
+from smogline.schema import MetricSpec
+from smogline.session import cut, scratch_scope
+from smogline.streaming.ingest import stream_hourly
 
 
 def hour_cells(hours: DataFrame) -> DataFrame:
-    return sensor_cells(label_hours(keep_valid(hours)))
+    """Valid hours of single sources as cells."""
+    return source_cells(label_hours(keep_valid(hours)), "metric", ("hour",))
 
 
 def upsert_batch(batch: DataFrame, target: str) -> None:
-    """Merge one micro-batch. A replayed batch brings the same values for the same cells,
-    and merging those again changes nothing."""
-    merge_into_store(batch.sparkSession, cut(hour_cells(batch)), target)
+    """Merge one micro-batch and renew the days to years it touches. A replayed batch brings
+    the same values for the same cells, and merging those again changes nothing."""
+    with scratch_scope(batch.sparkSession):
+        merge_hours(batch.sparkSession, cut(hour_cells(batch)), target)
 
 
 def stream_upsert(hours: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
@@ -28,3 +31,12 @@ def stream_upsert(hours: DataFrame, target: str, checkpoint: str) -> StreamingQu
     return (hours.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
             .foreachBatch(lambda batch, _: upsert_batch(batch, target))
             .trigger(availableNow=True).start())
+
+
+def stream_metric(rows: DataFrame, spec: MetricSpec, target: str, checkpoint: str,
+                  lateness: str = "3 hours") -> StreamingQuery:
+    """Stream one metric's readings into its store as a refreshing run would: rows of invalid
+    quality are left out, hours are rolled up per source, longer periods follow."""
+    valid = drop_invalid_qc(rows, spec)
+    hours = stream_hourly(valid, spec.time_column, spec.col_name, lateness, spec.min_obs_per_hour)
+    return stream_upsert(hours, target, checkpoint)

@@ -6,9 +6,11 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from smogline.operators import dataset
+from pyspark.sql import functions as F
+
 from smogline.plans import metric_run, store
 from smogline.schema import CELLS, LOCATIONS, METRICS
-from smogline.sources import measurements, sinks
+from smogline.sources import measurements, sinks, versions
 
 PERIODS = "type string, date string, datasourceId string, sourceId string, metric double"
 
@@ -73,6 +75,11 @@ def test_locations_upsert(spark):
         ("D1", "S1", 2.0, "60601"), ("D2", "S2", 3.0, None)]
 
 
+def test_merging_locations_with_themselves(spark):
+    table = spark.createDataFrame([("D1", None, 1.0), (None, None, 2.0), ("D1", "S", 3.0)], "datasourceId string, sourceId string, lat double")
+    assert rows(dataset.upsert_locations(table, table)) == rows(table)
+
+
 def test_first_dataset_is_empty(spark, shared):
     df = measurements.read_dataset_or_empty(spark, shared("none"), LOCATIONS)
     assert df.count() == 0 and df.schema == LOCATIONS
@@ -89,41 +96,94 @@ def test_dataset_layout(spark, shared):
     assert "PartitionFilters: [isnotnull(type" in plan
 
 
+TYPES = {"hour": "2026-{:02d}-03 {:02d}:00:00", "day": "2026-{:02d}-{:02d}", "week": "2026-W{:02d}{:02d}", "month": "20{1:02d}-{0:02d}",
+         "season": "20{1:02d}-{0:02d}", "year": "2{1:03d}"}
+
+
+def newest_first(spark, path):
+    """Every file's dates, as stored."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    files = [f for f in glob.glob(f"{path}/**/*.parquet", recursive=True)]
+    assert files
+    for f in files:
+        dates = pq.ParquetFile(f).read(columns=["date"]).column("date").to_pylist()
+        assert dates == sorted(dates, reverse=True), f
+    return files
+
+
+def test_files_hold_the_newest_first(spark, shared):
+    data = [(t, form.format(m, n), ds, 1.0) for t, form in TYPES.items() for m in (1, 2, 3) for n in range(10, 20) for ds in "AB"]
+    dataset_path, path = shared("dataset"), shared("store")
+    df = cells(spark, *sorted(set(data), key=hash)).repartition(4)
+    sinks.write_dataset(df, dataset_path)
+    assert len({f.split("type=")[1].split("/")[0] for f in newest_first(spark, dataset_path)}) == 6
+    store.merge_into_store(spark, df, path)
+    store.merge_into_store(spark, df.filter("date like '2026-02%'").withColumn("value", F.lit(2.0)), path)
+    folders = {f.rsplit("/version=", 1)[0] for f in newest_first(spark, path)}
+    assert len(folders) > 12 and len({f.split("type=")[1].split("/")[0] for f in folders}) == 6
+
+
 def test_store_rewrites_touched_partitions_only(spark, shared):
     import glob
 
     path = shared("store")
     store.merge_into_store(spark, cells(spark, ("hour", "2026-01-01", "A", 1.0), ("hour", "2026-02-01", "A", 1.0)), path)
-    untouched = set(glob.glob(f"{path}/type=hour/bucket=2026-01/*.parquet"))
+    untouched = set(glob.glob(f"{path}/type=hour/bucket=2026-01/*/*.parquet"))
     assert untouched
     store.merge_into_store(spark, cells(spark, ("hour", "2026-02-01", "A", 5.0), ("year", "2026", "A", 3.0)), path)
-    assert set(glob.glob(f"{path}/type=hour/bucket=2026-01/*.parquet")) == untouched
+    assert set(glob.glob(f"{path}/type=hour/bucket=2026-01/*/*.parquet")) == untouched
     assert rows(store.read_store(spark, path), "date", "value") == [("2026", 3.0), ("2026-01-01", 1.0), ("2026-02-01", 5.0)]
 
 
-def test_interrupted_publication_is_finished_by_the_next_run(spark, shared):
+def test_readers_see_old_or_new(spark, shared):
+    """A frame made before a change still gives the old rows after it."""
+    path = shared("store")
+    store.merge_into_store(spark, cells(spark, ("day", "2026-01-01", "A", 1.0)), path)
+    before = store.read_store(spark, path)
+    store.merge_into_store(spark, cells(spark, ("day", "2026-01-01", "A", 2.0), ("day", "2026-02-01", "A", 2.0)), path)
+    assert rows(before, "date", "value") == [("2026-01-01", 1.0)]
+    assert rows(store.read_store(spark, path), "date", "value") == [("2026-01-01", 2.0), ("2026-02-01", 2.0)]
+
+
+def test_interrupted_change_has_changed_nothing(spark, shared, monkeypatch):
+    import glob
+
     path = shared("store")
     store.merge_into_store(spark, cells(spark, ("hour", "2026-01-01", "A", 1.0), ("hour", "2026-01-01", "C", 4.0)), path)
-    new = cells(spark, ("hour", "2026-01-01", "A", 2.0), ("hour", "2026-01-01", "B", 3.0))
-    assert store.stage(spark, new, path, f"{path}.staging/stopped")
-    # Publishing stopped half way: the old partition is gone, the new one is not there.
-    (cells(spark, ("hour", "2026-01-01", "Z", 0.0)).selectExpr("*", "'2026-01' as bucket")
-     .write.mode("overwrite").partitionBy("type", "bucket").parquet(path))
-    store.merge_into_store(spark, cells(spark, ("day", "2026-01-01", "A", 9.0)), path)
-    assert rows(store.read_store(spark, path), "type", "datasourceId", "value") == [
-        ("day", "A", 9.0), ("hour", "A", 2.0), ("hour", "B", 3.0), ("hour", "C", 4.0)]
 
+    def stopped(*_):
+        raise KeyboardInterrupt
+
+    new = cells(spark, ("hour", "2026-01-01", "A", 2.0), ("hour", "2026-01-01", "B", 3.0))
+    with monkeypatch.context() as m:
+        m.setattr(versions, "publish", stopped)
+        with pytest.raises(KeyboardInterrupt):
+            store.merge_into_store(spark, new, path)
+    assert rows(store.read_store(spark, path), "datasourceId", "value") == [("A", 1.0), ("C", 4.0)]
+    assert len(glob.glob(f"{path}/type=hour/bucket=2026-01/version=*")) == 2
+    store.merge_into_store(spark, new, path)
+    store.merge_into_store(spark, new, path)
+    assert rows(store.read_store(spark, path), "datasourceId", "value") == [("A", 2.0), ("B", 3.0), ("C", 4.0)]
+    assert len(glob.glob(f"{path}/type=hour/bucket=2026-01/version=*")) == 2  # the last two; the rest is gone
+
+
+def test_a_second_writer_fails(spark, shared, monkeypatch):
+    path = shared("store")
+    store.merge_into_store(spark, cells(spark, ("day", "2026-01-01", "A", 1.0)), path)
+    monkeypatch.setattr(versions, "_numbers", lambda *_: [])
+    with pytest.raises(FileExistsError):
+        store.merge_into_store(spark, cells(spark, ("day", "2026-01-01", "A", 2.0)), path)
 
-def test_incomplete_staging_is_dropped(spark, shared):
-    import os
 
+def test_offsets_from_partition_counts(spark, shared):
     path = shared("store")
-    staged = f"{path}.staging/stopped"
-    store.stage(spark, cells(spark, ("day", "2026-01-01", "A", 1.0)), path, staged)
-    os.remove(f"{staged}/_SUCCESS")
-    store.merge_into_store(spark, cells(spark, ("day", "2026-01-02", "A", 2.0)), path)
-    assert rows(store.read_store(spark, path), "date") == [("2026-01-02",)]
-    assert os.listdir(f"{path}.staging") == [] or all(n.startswith(".") for n in os.listdir(f"{path}.staging"))
+    store.merge_into_store(spark, cells(spark, *[("hour", f"2026-0{m}-01 0{h}:00:00", ds, 1.0) for m in (1, 2) for h in (1, 2) for ds in "AB"],
+                                        ("day", "2026-01-01", "A", 1.0), ("year", "2026", "A", 1.0)), path)
+    matrix = dataset.pivot_cells(store.read_store(spark, path))
+    assert rows(store.store_offsets(spark, path)) == rows(dataset.type_offsets(matrix))
 
 
 def test_replaced_cells_disappear(spark, shared):
@@ -143,8 +203,6 @@ def test_requested_metrics(caplog):
 
 def test_run_metrics_end_to_end(spark, shared, folder):
     from checks import tables
-    from pyspark.sql import functions as F
-
     rows_in = tables.wide(spark, folder).withColumn("sourceId", F.upper("datasourceId"))
     rows_in = rows_in.withColumn("pm2_5ConcMassNowcastUsEpaAqi.qcAssessment", F.col(f"`{tables.ASSESSMENT}`"))
     root = shared("root")
@@ -161,8 +219,6 @@ def test_run_metrics_end_to_end(spark, shared, folder):
 
 def test_refresh_drops_a_period_that_became_invalid(spark, shared):
     """Hours of one day arrive in two halves; a third run changes one hour of another day."""
-    from pyspark.sql import functions as F
-
     from smogline.schema import MetricSpec
 
     spec = MetricSpec("m", "x.value")
@@ -185,6 +241,67 @@ def test_refresh_drops_a_period_that_became_invalid(spark, shared):
     assert store.read_store(spark, path).filter("type = 'day'").count() == 0
 
 
+def test_refresh_never_mixes_sources(spark, shared):
+    """One source with 24 hours of 1.0, a greater one with 12 of 3.0: only the first has a valid day."""
+    from smogline.schema import MetricSpec
+
+    spec = MetricSpec("m", "x.value")
+
+    def hours(source, n, value):
+        return spark.range(n).select(
+            F.lit("D").alias("datasourceId"), F.lit(source).alias("sourceId"), F.lit(value).alias("x.value"),
+            (F.lit("2026-01-05").cast("timestamp") + F.make_interval(hours=F.col("id").cast("int"))).alias("endOfPeriod"))
+
+    whole = hours("A", 24, 1.0).union(hours("B", 12, 3.0)).union(hours(None, 3, 5.0))
+    plain, refreshed, split = shared("plain"), shared("refreshed"), shared("split")
+    metric_run.run_metric(spark, spec, whole, plain, count_rows=True)
+    metric_run.run_metric(spark, spec, whole, refreshed, refresh=True)
+    for part in (hours("B", 12, 3.0), hours(None, 3, 5.0), hours("A", 24, 1.0)):
+        metric_run.run_metric(spark, spec, part, split, refresh=True)
+    found = rows(store.read_store(spark, plain))
+    assert [r for r in found if r[0] == "day"] == [("day", "2026-01-05", "D", 1.0, "2026-01")]
+    assert sorted({r[3] for r in found if r[0] == "hour"}) == [1.0, 3.0, 5.0]
+    assert found == rows(store.read_store(spark, refreshed)) == rows(store.read_store(spark, split))
+
+
+def test_a_run_leaves_no_scratch(spark, shared, folder):
+    import glob
+
+    from checks import tables
+    from smogline.schema import MetricSpec
+    from smogline.session import shared_dir
+
+    before = set(glob.glob(f"{shared_dir(spark)}/cut-*"))
+    metric_run.run_metric(spark, MetricSpec("m", tables.VALUE), tables.wide(spark, folder), shared("store"), refresh=True)
+    assert set(glob.glob(f"{shared_dir(spark)}/cut-*")) == before
+
+
+def test_locations_are_kept_and_merged(spark, shared, folder):
+    """A run renews the table, a second one changes nothing, a supplied file adds to it."""
+    from checks import tables
+    from smogline.plans import locations
+    from smogline.sources.boundaries import flatten_datasources
+
+    path, root, supplied = shared("locations"), shared("root"), shared("supplied")
+    given = {"path": path, "datasources": flatten_datasources(tables.datasources(spark, folder)),
+             "boundaries": {"wards": tables.regions(spark, folder)}, "order_cols": ["event_id"]}
+    readings = tables.wide(spark, folder)
+    metric_run.run_metrics(spark, lambda _: readings, root, ["hourly_no2"], locations=given,
+                           window=(datetime(2024, 1, 1), datetime(2024, 1, 8)))
+    first = locations.read_locations(spark, path)
+    assert first.schema == LOCATIONS and first.count() == 15
+    hours = store.read_store(spark, f"{root}/hourly_no2").filter("type = 'hour'").agg(F.min("date"), F.max("date")).first()
+    assert hours[0] >= "2024-01-01" and hours[1] < "2024-01-08"
+    again = locations.update_locations(spark, measurements=readings.filter("endOfPeriod < timestamp'2024-01-08'"), **given)
+    assert rows(again, *LOCATIONS.names[:9]) == rows(first, *LOCATIONS.names[:9])
+    spark.createDataFrame([("click", "S0", "New name", None), ("far", None, "Far away", "60601")],
+                          "datasourceId string, sourceId string, name string, zip string").write.parquet(supplied)
+    for _ in range(2):
+        merged = {(r["datasourceId"], r["sourceId"]): r for r in locations.merge_location_file(spark, path, supplied).collect()}
+        assert len(merged) == 16 and merged[("click", "S0")]["name"] == "New name" and merged[("far", None)]["zip"] == "60601"
+        assert merged[("click", "S0")]["locationLatitude"] is not None
+
+
 def test_unknown_cleaner(spark):
     from smogline.plans.cleaners import clean
     from smogline.schema import MetricSpec

@@ -31,7 +31,8 @@ def test_type_rank(spark):
 
 NOW = at("2026-02-06 13:45")
 BOUNDS = [
-    ("3hours", "previous", "2026-02-06 10:00", "2026-02-06 13:00"),
+    ("3hours", "current", "2026-02-06 10:00", "2026-02-06 13:00"),
+    ("3hours", "previous", "2026-02-06 07:00", "2026-02-06 10:00"),
     ("day", "previous", "2026-02-05", "2026-02-06"), ("day", "current", "2026-02-06", "2026-02-07"),
     ("week", "previous", "2026-01-26", "2026-02-02"), ("week", "current", "2026-02-02", "2026-02-09"),
     ("month", "previous", "2026-01-01", "2026-02-01"), ("month", "current", "2026-02-01", "2026-03-01"),
@@ -55,7 +56,22 @@ def test_period_bounds_refuses_unknown():
     with pytest.raises(ValueError):
         times.period_bounds("decade", "current", NOW)
     with pytest.raises(ValueError):
-        times.period_bounds("3hours", "current", NOW)
+        times.period_bounds("day", "next", NOW)
+
+
+def test_run_windows():
+    window = times.run_window
+    assert window(NOW) == (at("2026-02-06 10:00"), None)
+    assert window(NOW, start=at("2026-02-01")) == (at("2026-02-01"), None)
+    assert window(NOW, historical=True) == (at("2026-01-01"), at("2026-02-01"))
+    assert window(NOW, True, start=at("2025-05-01")) == (at("2025-05-01"), at("2026-02-01"))
+    assert window(NOW, True, end=at("2026-01-10")) == (at("2026-01-01"), at("2026-01-10"))
+    assert window(NOW, True, ["hour"]) == (at("2026-02-06 10:00"), at("2026-02-06 13:00"))
+    assert window(NOW, True, ["season", "day", "week"]) == (at("2025-09-01"), at("2025-12-01"))
+    assert window(NOW, True, ["year", "hour"]) == (at("2025-01-01"), at("2026-01-01"))
+    for bad in ({"levels": ["decade"], "historical": True}, {"levels": ["day"]}, {"historical": True, "levels": ["day"], "start": NOW}):
+        with pytest.raises(ValueError):
+            window(NOW, **bad)
 
 
 @pytest.mark.parametrize("kind", ["day", "week", "month", "season", "year"])

@@ -3,6 +3,7 @@ from helpers import at, rows
 from pyspark.sql import functions as F
 
 from smogline.operators import quality, rollup
+from smogline.plans import cleaners
 from smogline.schema import METRICS, MetricSpec
 
 NAN = float("nan")
@@ -118,3 +119,15 @@ def test_rollups_share_their_shuffles(spark, folder):
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
     assert plan.count("ReusedExchange") == 2
     assert plan.count("FileScan") == 1
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("D", "S", 1.0), ("D", "S", nan), ("D", "S", 3.0), ("D", "S", None)],
+                               "datasourceId string, sourceId string, v double").withColumn("t", F.lit("2026-01-01").cast("timestamp"))
+    hour = rollup.rollup_hour(df, "t", "v").first()
+    assert (hour["n_valid"], hour["metric"], hour["is_valid"]) == (2, 2.0, True)
+    assert quality.filter_ranges(df, {"v": (2.0, 4.0)}).count() == 3
+    spec = MetricSpec("m", "v")
+    cleaned = cleaners.clean(df.withColumnRenamed("t", "endOfPeriod"), spec).filter("type = 'hour'").first()
+    assert (cleaned["m"], cleaned["n_valid"]) == (2.0, 2)

@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from smogline.functions.geo import sensor_key
 from smogline.operators import impute, quality
 from smogline.operators import series as sr
 
@@ -206,3 +207,65 @@ def test_equal_times_lose_no_rows(spark, size):
     df = series(spark, x).withColumn("time", F.date_trunc("hour", "time"))
     filled = impute.fill_single_gaps(sr.place_rows(df, "time", segment_rows=size), "v").rows()
     assert filled.count() == 120 and rows(filled.groupBy("time").count()) == rows(df.groupBy("time").count())
+
+
+def timeless(spark, n=60):
+    """Readings of which a third have no time, many of them alike but for the ``tie`` column."""
+    r = random.Random(21)
+    data = [("D", None if i % 3 else "S", None if i % 3 == 0 else f"2026-01-01T00:{r.randint(0, 59):02d}:00Z", float(r.randint(1, 5)) if i % 7 else None, i)
+            for i in range(n)]
+    df = spark.createDataFrame(data, "datasourceId string, sourceId string, t string, v double, tie int")
+    return df.withColumn("time", F.to_timestamp("t")).drop("t")
+
+
+@pytest.mark.parametrize("tie", [(), ("tie",)])
+def test_one_row_order_at_every_size(spark, tie):
+    """Rows without a time, and ties, have the same place whether series are split or not."""
+    df = timeless(spark)
+    columns = [F.col(c) for c in tie]
+
+    def places(size):
+        placed = sr.place_rows(df, "time", tie=columns, segment_rows=size)
+        assert placed.split == (size < 60)
+        return rows(placed.df.select("tie", "sourceId", "_pos"))
+
+    def spread(size):
+        return rows(sr.rolling_sd(sr.place_rows(df, "time", tie=columns, segment_rows=size), "v").df.select("tie", F.round("rolling_sd", 9)))
+
+    def filled(size):
+        return rows(impute.fill_single_gaps(sr.place_rows(df, "time", tie=columns, segment_rows=size), "v", 0.5).rows().select("tie", "v"))
+
+    def runs(size):
+        return rows(sr.null_runs(sr.place_rows(df, "time", tie=columns, segment_rows=size), "v").select("sourceId", "start", "stop"))
+
+    def flat(size):
+        return rows(sr.drop_flatline(df, "time", "v", 1, 1, tie=columns, segment_rows=size).select("tie"))
+
+    for result in (places, spread, filled, runs, flat):
+        assert result(1000) == result(12) == result(7), result.__name__
+
+
+def test_a_missing_source_is_filled_like_any_other(spark):
+    """A run of two nulls is filled from the neighbours, also for the sensor without a source."""
+    data = [("A", s, i, None if i in (4, 5) and s != "n" else 10.0) for s in ("S", None, "n") for i in range(10)]
+    df = spark.createDataFrame(data, "datasourceId string, sourceId string, i int, v double").withColumn(
+        "time", F.lit("2026-01-01").cast("timestamp") + F.make_interval(hours=F.col("i")))
+    keys = ["A||S", "A||", "A||n"]
+    placed = sr.place_rows(df, "time")
+    key = df.select(sensor_key()).distinct().collect()
+    keys = [r[0] for r in key]
+    pairs = spark.createDataFrame([(a, b, 1.0, n + 1) for a in keys for n, b in enumerate(k for k in keys if k != a)],
+                                  "key1 string, key2 string, dist_km double, rn long")
+    got = impute.fill_gap_chunks(placed, pairs, "v").rows()
+    assert got.count() == 30 and got.filter("v is null").count() == 0
+
+
+def test_gap_tables_composed_by_doubling():
+    import numpy as np
+
+    tables = np.random.default_rng(3).integers(0, 16, 300)
+    states, want = [0, 1, 2, 3], []
+    for bits in tables:
+        states = [((int(bits) >> s) & 1) + 2 * (s & 1) for s in states]
+        want.append(states)
+    assert impute._chain(impute._maps(tables)).tolist() == want

@@ -6,6 +6,8 @@ from helpers import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from smogline.operators import joins, spatial
 
 PLACES = "key string, lat double, lon double"
@@ -137,9 +139,41 @@ def test_no_regions(spark):
 def test_hot_keys_join_alike(spark, how):
     left = spark.createDataFrame([(i, None if i % 10 == 0 else i % 3 and 7) for i in range(300)], "i int, k int")
     right = spark.createDataFrame([(7, "a"), (7, "b"), (1, "c"), (None, "d")], "k int, v string")
-    plain = rows(left.join(right, ["k"], how))
-    for hot in (10, 1_000_000):
-        assert rows(joins.lookup_join(left, right, ["k"], how, hot_rows=hot)) == plain
+    assert rows(joins.lookup_join(left, right, ["k"], how)) == rows(left.join(right, ["k"], how))
+
+
+def test_a_hot_key_is_split_by_its_size(spark):
+    """A key with nearly all rows is read by many tasks, each within the wanted size."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(0, 400_000, numPartitions=40).select(F.when(F.col("id") % 50 > 0, 7).otherwise(F.col("id")).alias("k"), "id")
+        right = spark.range(1000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+        joined = joins.lookup_join(left, right, ["k"], "left").withColumn("task", F.spark_partition_id())
+        tasks = joined.filter("k = 7").groupBy("task").count().collect()
+        assert sum(r["count"] for r in tasks) == 392_000
+        assert len(tasks) > 20 and max(r["count"] for r in tasks) < 392_000 / 10
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_layers_do_not_multiply_the_readings(spark, folder):
+    from checks import tables
+    from smogline.plans.locations import build_locations
+    from smogline.sources.boundaries import LAYERS, flatten_datasources
+
+    wards = tables.regions(spark, folder)
+    layers = {name: wards.select("region_id", "x1", "y1", "x2", "y2", *[F.col("ward").alias(c) for c in columns.values()])
+              for name, columns in LAYERS.items()}
+    source = flatten_datasources(tables.datasources(spark, folder))
+    for n in (0, 1, 3):
+        built = build_locations(tables.wide(spark, folder), source, dict(list(layers.items())[:n]), ["event_id"])
+        # the sensors are read from where they were written, the events by the metadata alone
+        assert built._jdf.queryExecution().executedPlan().toString().count("events.parquet") == 1
 
 
 def test_no_cross_joins(spark, folder):
