@@ -273,8 +273,8 @@ _GAPS = f"""SELECT *, row_number() {_BY_TIME} - 1 AS pos, lag(value) {_BY_TIME}
 _FILL = "CASE WHEN value IS NULL AND abs((p + n) / 2 - s / c) / abs(s / c) <= 0.05e0 THEN (p + n) / 2 ELSE value END"
 
 
-def _filled(s, d, mode: str) -> DataFrame:
-    filled = impute.fill_single_gaps(series.place_rows(t.grid(s, d), "time"), "value", mode=mode).rows()
+def _filled(s, d, mode: str, grid=t.grid) -> DataFrame:
+    filled = impute.fill_single_gaps(series.place_rows(grid(s, d), "time"), "value", mode=mode).rows()
     return filled.select("datasourceId", F.date_format("time", "yyyy-MM-dd HH").alias("at"),
                          near("value").alias("value"))
 
@@ -375,8 +375,8 @@ def _chunks_sql(source: str) -> dict[str, str]:
     }
 
 
-def _chunk_filled(s, d) -> DataFrame:
-    rows = t.grid(s, d)
+def _chunk_filled(s, d, grid=t.grid) -> DataFrame:
+    rows = grid(s, d)
     filled = impute.fill_gap_chunks(series.place_rows(rows, "time"), _neighbors(rows), "value").rows()
     return filled.select("datasourceId", F.date_format("time", "yyyy-MM-dd HH").alias("at"),
                          near("value").alias("value"))
@@ -393,9 +393,12 @@ _IMPUTE_SQL = f"""SELECT "datasourceId", strftime(time, '%Y-%m-%d %H') AS at, ro
     UNION ALL SELECT "datasourceId", time, value, 'impute_5to20' FROM chunked WHERE (SELECT r FROM rate) >= 0.05e0 AND (SELECT r FROM rate) < 0.2e0)"""
 _RATE = {"rate": "SELECT avg(CASE WHEN value IS NULL THEN 1.0e0 ELSE 0.0e0 END) AS r FROM gr"}
 
-add("x1_qa_qc_impute",
-    lambda s, d: impute.qa_qc_impute(t.grid(s, d), "time", "value").select(
-        "datasourceId", F.date_format("time", "yyyy-MM-dd HH").alias("at"), near("value").alias("value"), "impute_flag"),
+def _imputed(s, d, grid=t.grid) -> DataFrame:
+    return impute.qa_qc_impute(grid(s, d), "time", "value").select(
+        "datasourceId", F.date_format("time", "yyyy-MM-dd HH").alias("at"), near("value").alias("value"), "impute_flag")
+
+
+add("x1_qa_qc_impute", _imputed,
     _IMPUTE_SQL, **_EXACT_VIEWS, **_chunks_sql("exact"), **_RATE)
 
 add("a10_flag_counts",
@@ -405,10 +408,10 @@ add("a10_flag_counts",
 # --- whole cleaning runs -----------------------------------------------------------------
 
 
-def _minutes(s, d) -> DataFrame:
+def _minutes(s, d, grid=None) -> DataFrame:
     """The grid as minute-sensor rows; humidity and temperature follow from the hour."""
     hour = F.hour("time")
-    return t.grid(s, d, flat=True).select(
+    return (grid(s, d) if grid else t.grid(s, d, flat=True)).select(
         *SENSOR, F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("time"),
         "locationLatitude", "locationLongitude", F.col("value").alias("pm2_5ConcMassIndividual.raw"),
         (hour * F.lit(5.0) - 2).alias("relHumidInternalIndividual.raw"),
@@ -416,25 +419,30 @@ def _minutes(s, d) -> DataFrame:
         F.when(hour == 13, "invalid").alias("pm2_5ConcMassIndividual.qcAssessment"))
 
 
-add("x2_prepare_minute_pm25",
-    lambda s, d: cleaners.prepare_minute_pm25(quality.drop_invalid_qc(
-        _minutes(s, d), MetricSpec("m", "pm2_5ConcMassIndividual.value", qc="true"))).select(
+def _prepared(s, d, grid=None) -> DataFrame:
+    return cleaners.prepare_minute_pm25(quality.drop_invalid_qc(
+        _minutes(s, d, grid), MetricSpec("m", "pm2_5ConcMassIndividual.value", qc="true"))).select(
             "datasourceId", F.date_format("time", "yyyy-MM-dd HH").alias("at"),
             near("`pm2_5ConcMassIndividual.raw`").alias("raw"),
-            near("`pm2_5ConcMassIndividual.calibrated`").alias("calibrated"), "impute_flag"),
-    f"""SELECT "datasourceId", strftime(time, '%Y-%m-%d %H') AS at, round(value + 1e-9, {PLACES}) AS raw,
+            near("`pm2_5ConcMassIndividual.calibrated`").alias("calibrated"), "impute_flag")
+
+
+_PREPARED_SQL = f"""SELECT "datasourceId", strftime(time, '%Y-%m-%d %H') AS at, round(value + 1e-9, {PLACES}) AS raw,
         round(CASE WHEN value < 343 THEN 0.524e0 * value - 0.0862e0 * (hour(time) * 5.0e0 - 2) + 5.75e0
                    WHEN value >= 343 THEN 0.46e0 * value + 0.000393e0 * value * value + 2.97e0 END + 1e-9, {PLACES}) AS calibrated,
         impute_flag FROM (
     SELECT "datasourceId", time, value, 'drop_na_lt5' AS impute_flag FROM lively WHERE value IS NOT NULL AND (SELECT r FROM rate) < 0.05e0
     UNION ALL SELECT "datasourceId", time, value, 'no_impute_ge20' FROM lively WHERE (SELECT r FROM rate) >= 0.2e0
-    UNION ALL SELECT "datasourceId", time, value, 'impute_5to20' FROM chunked WHERE (SELECT r FROM rate) >= 0.05e0 AND (SELECT r FROM rate) < 0.2e0)""",
+    UNION ALL SELECT "datasourceId", time, value, 'impute_5to20' FROM chunked WHERE (SELECT r FROM rate) >= 0.05e0 AND (SELECT r FROM rate) < 0.2e0)"""
+_PREPARED_VIEWS = dict(
     plausible="SELECT * FROM grf WHERE hour(time) <> 13 AND hour(time) * 5.0e0 - 2 BETWEEN 0 AND 100 AND hour(time) * 7.0e0 - 20 BETWEEN -20 AND 140",
     lively=f"""SELECT * EXCLUDE (cn, lo, hi) FROM (SELECT *, count(value) {_FRAME} AS cn, min(value) {_FRAME} AS lo,
         max(value) {_FRAME} AS hi FROM plausible) WHERE NOT (cn >= 2 AND lo = hi) OR lo IS NULL""",
     rate="SELECT avg(CASE WHEN value IS NULL THEN 1.0e0 ELSE 0.0e0 END) AS r FROM lively",
     steps=_STEPS.replace("FROM gr", "FROM lively"), walked=_WALK, exact=_EXACT_VIEWS["exact"], **_chunks_sql("exact"))
 
+add("x2_prepare_minute_pm25", _prepared, _PREPARED_SQL, **_PREPARED_VIEWS)
+
 
 def _minute_periods(s, d) -> DataFrame:
     spec = MetricSpec("mean_pm25", "pm2_5ConcMassIndividual.value", output_frequency="minute", qc=True, cleaner="minute_pm25")

@@ -51,6 +51,7 @@ def compare(spark, folder: str, fn, sql: str) -> str | None:
 
 def main() -> int:
     import checks.catalog2  # noqa: F401 - adds its queries
+    import checks.catalog3  # noqa: F401 - adds its queries
     from checks.catalog import QUERIES, SQL
     from smogline.session import get_session
 

@@ -86,6 +86,24 @@ def grid(spark, folder, flat: bool = False) -> DataFrame:
         (F.lit(-87.0) - F.ascii(F.substring("datasourceId", 2, 1)) / F.lit(100.0)).alias("locationLongitude"))
 
 
+def long_grid(spark, folder) -> DataFrame:
+    """Orders as an hourly grid of twelve sensors that grows with the tables: about 15 % of the values
+    are missing, alone, close to one another, and in runs of four."""
+    i, n = F.floor(F.col("o_orderkey") / 12), F.col("o_orderkey") % 12
+    missing = ((i + n * 5) % 17 == 3) | ((i + n) % 41).isin(10, 13) | ((i + n * 3) % 101).between(50, 53)
+    value = as_double(i % 24) / 4 + as_double(n) / 8 + 100 + F.when(F.col("o_orderkey") % 29 == 0, 40.0).otherwise(0.0)
+    name = F.concat(F.lit("o"), n.cast("string"))
+    return table(spark, folder, "orders").select(
+        name.alias("datasourceId"), F.upper(name).alias("sourceId"),
+        F.timestamp_seconds(F.lit(1704067200) + i * 3600).alias("time"), F.when(~missing, value).alias("value"),
+        (as_double(n) / 100 + 41).alias("locationLatitude"), (F.lit(-87.0) - as_double(n * 7 % 12) / 100).alias("locationLongitude"))
+
+
+def uneven(spark, folder) -> DataFrame:
+    """Wide events of which one source has most readings and two greater ones a few."""
+    return wide(spark, folder).withColumn("sourceId", F.concat(F.lit("S"), F.greatest(F.col("event_id") % 10 - 7, F.lit(0)).cast("string")))
+
+
 def places(spark, folder) -> DataFrame:
     """Customers as sensors with coordinates."""
     return table(spark, folder, "customer").select(
@@ -178,6 +196,12 @@ CTES = {
         avg(metric) AS metric FROM hours GROUP BY ALL""",
     "da": """SELECT l_returnflag AS "datasourceId", 'L' || CAST(l_linenumber AS VARCHAR) AS "sourceId",
         l_shipdate AS day, avg(l_quantity) AS metric FROM lineitem GROUP BY ALL""",
+    "lg": """SELECT "datasourceId", upper("datasourceId") AS "sourceId", TIMESTAMP '2024-01-01' + to_hours(i) AS time,
+        CASE WHEN NOT ((i + n * 5) % 17 = 3 OR (i + n) % 41 IN (10, 13) OR (i + n * 3) % 101 BETWEEN 50 AND 53)
+        THEN CAST(i % 24 AS DOUBLE) / 4 + CAST(n AS DOUBLE) / 8 + 100 + CASE WHEN o_orderkey % 29 = 0 THEN 40.0e0 ELSE 0.0e0 END END AS value,
+        CAST(n AS DOUBLE) / 100 + 41 AS lat, -87.0e0 - CAST(n * 7 % 12 AS DOUBLE) / 100 AS lon
+        FROM (SELECT o_orderkey, o_orderkey // 12 AS i, o_orderkey % 12 AS n, 'o' || CAST(o_orderkey % 12 AS VARCHAR) AS "datasourceId" FROM orders)""",
+    "un": """SELECT * REPLACE ('S' || CAST(greatest(event_id % 10 - 7, 0) AS VARCHAR) AS "sourceId") FROM ev""",
     "means": """SELECT event_type AS "datasourceId", date_trunc('hour', ts) AS time, avg(value) AS m
         FROM events GROUP BY ALL""",
     "span": """SELECT "datasourceId", unnest(generate_series(min(time), max(time), INTERVAL 1 HOUR)) AS time

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -200,22 +200,27 @@ def fill_gap_chunks(series: Series, neighbors: DataFrame, col: str, threshold: f
                    | F.coalesce(F.lead(value.isNull()).over(window), F.lit(False)))
     kept = (framed.withColumn("_gap", value.isNull() & beside_null)
             .filter("_core and not _gap").select(*[quoted(c) for c in columns]))
-    # The gap rows are few and are read four times below, so they are written once.
-    gaps = cut(null_rows(series, col, beside_null=True).withColumn("key", sensor_key(keys)))
-
-    pieces = stitch_pieces(series, null_pieces(series, gaps))
-    edges = pieces.groupBy(*keys, "run").agg(
-        F.coalesce(F.min_by("edge_before", "start"), F.max_by("edge_after", "start")).alias("_edge"))
-    means = neighbor_means(gaps, neighbors, series.df.withColumn("key", sensor_key(keys)), ts, col,
-                           [*keys, "_pos"])
-    filled = null_safe_join(gaps, means, [*keys, "_pos"], "left")
-    filled = null_safe_join(filled, pieces.select(*keys, "_seg", "_piece", "run"), [*keys, "_seg", "_piece"], "left")
-    levels = filled.groupBy(*keys, "run").agg(F.avg("nb_mean").alias("_level"))
-    good = null_safe_join(levels, edges, [*keys, "run"]).filter(
-        _finite(F.col("_edge")) & _finite(F.col("_level")) & (rel_diff("_edge", "_level") <= threshold))
-    good = null_safe_join(pieces, good.select(*keys, "run"), [*keys, "run"], "left_semi").select(
-        *keys, "_seg", "_piece", F.lit(True).alias("_ok"))
-    filled = null_safe_join(filled, good, [*keys, "_seg", "_piece"], "left")
+    # The gap rows are few and are read more than once below, so they are written once.
+    gaps = cut(null_rows(series, col, beside_null=True).withColumn("key", sensor_key(keys))
+               .withColumn("_gap_id", F.monotonically_increasing_id()))
+    means = neighbor_means(gaps, neighbors, series.df.withColumn("key", sensor_key(keys)), ts, col, ["_gap_id"])
+    filled = gaps.join(means, "_gap_id", "left")
+    close = _finite(F.col("_edge")) & _finite(F.col("_level")) & (rel_diff("_edge", "_level") <= threshold)
+    if not series.split:  # a run lies in one segment, whose rows are bounded
+        run = Window.partitionBy(*keys, "_seg", "_piece")
+        filled = (filled.withColumn("_level", F.avg("nb_mean").over(run))
+                  .withColumn("_edge", F.coalesce(F.min_by("_before", "_pos").over(run), F.max_by("_after", "_pos").over(run)))
+                  .withColumn("_ok", close))
+    else:
+        pieces = stitch_pieces(series, null_pieces(series, gaps))
+        edges = pieces.groupBy(*keys, "run").agg(
+            F.coalesce(F.min_by("edge_before", "start"), F.max_by("edge_after", "start")).alias("_edge"))
+        filled = null_safe_join(filled, pieces.select(*keys, "_seg", "_piece", "run"), [*keys, "_seg", "_piece"], "left")
+        levels = filled.groupBy(*keys, "run").agg(F.avg("nb_mean").alias("_level"))
+        good = null_safe_join(levels, edges, [*keys, "run"]).filter(close)
+        good = null_safe_join(pieces, good.select(*keys, "run"), [*keys, "run"], "left_semi").select(
+            *keys, "_seg", "_piece", F.lit(True).alias("_ok"))
+        filled = null_safe_join(filled, good, [*keys, "_seg", "_piece"], "left")
     filled = filled.withColumn(col, F.when(F.col("_ok"), F.col("nb_mean"))).select(
         *[quoted(c) for c in columns])
     return series.with_df(kept.unionByName(filled))
@@ -229,7 +234,13 @@ def qa_qc_impute(df: DataFrame, ts: str, col: str, k: int = 3, threshold: float
     Below 5 % they are dropped, from 20 % they are left, in between lone gaps and then
     longer runs are filled. ``longest`` is an upper bound of any sensor's rows, if known.
     """
-    rate = missing_rate(df, col).first()["missing_rate"]
+    if longest is None:  # one pass for the share and the longest series
+        shape = (df.groupBy(*keys).agg(F.count("*").alias("n"), F.count(quoted(col)).alias("known"))
+                 .agg(F.max("n").alias("longest"), F.sum("n").alias("n"), F.sum("known").alias("known")).first())
+        longest = shape["longest"] or 0
+        rate = (shape["n"] - shape["known"]) / shape["n"] if shape["n"] else None
+    else:
+        rate = missing_rate(df, col).first()["missing_rate"]
     if rate is None or rate >= 0.20:
         return df.withColumn("impute_flag", F.lit("no_impute_ge20"))
     if rate < 0.05:

@@ -54,11 +54,15 @@ def merge_locations(spark: SparkSession, path: str, new: DataFrame) -> DataFrame
     """Merge locations into the stored table, column by column, and store the result.
 
     Values of ``new`` win, nulls in it erase nothing, and merging the same rows again changes
-    nothing. Columns the table does not have are left out. Readers see the table before or after.
+    nothing. Columns the table does not have are left out. The table has one row per sensor: of
+    several, as of one in overlapping regions, the first in order of the columns is taken.
+    Readers see the table before or after.
     """
     known = {f.name: f.dataType for f in LOCATIONS}
     with scratch_scope(spark):
-        fresh = cut(new.select(*[F.col(c).cast(known[c]) for c in new.columns if c in known]))
+        columns = [c for c in new.columns if c in known]
+        typed = new.select(*[F.col(c).cast(known[c]) for c in columns])
+        fresh = cut(first_per_key(typed, SENSOR, [F.col(c).asc_nulls_last() for c in columns]))
         merged = upsert_locations(versions.read(spark, path, LOCATIONS, []), fresh)
         versions.write(merged.select(*LOCATION_COLUMNS), path, [], [F.col(k) for k in SENSOR], {()})
     return read_locations(spark, path)
