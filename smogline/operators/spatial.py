@@ -18,8 +18,8 @@ AXES = ("x", "y", "z")
 FINEST = 21
 FIRST_LEVEL = 3
 LEVEL_STEP = 2
-LEAF_ROWS = 512
-PAIRS_PER_TASK = 20_000
+LEAF_ROWS = 8192
+BLOCK, WIDE = 256, 8192
 
 
 def distinct_sensors(df: DataFrame, keys=SENSOR, lat: str = "locationLatitude",
@@ -134,13 +134,13 @@ def nearest_neighbors(sensors: DataFrame, k: int = 3, leaf_rows: int = LEAF_ROWS
                  .filter(F.col("_reach").isNull() | (F.col("_low") <= F.col("_reach") * (1 + 1e-6)))
                  .withColumn("_rows", F.sum("n").over(partners))
                  .select(*q, *c, "_reach", "_rows"))
-        if level + LEVEL_STEP <= min(enough + 1, FINEST):
+        if level < min(enough, FINEST - LEVEL_STEP):
             continue
         pairs = cut(pairs)
-        size = pairs.agg(F.min("_rows").alias("least"), F.max("_rows").alias("most"), F.count("*").alias("n")).first()
+        size = pairs.agg(F.min("_rows").alias("least"), F.max("_rows").alias("most")).first()
         last = level + LEVEL_STEP > FINEST or (size["most"] or 0) <= leaf_rows
         if last or size["least"] <= leaf_rows:
-            found.append(_compare(points, pairs if last else pairs.filter(F.col("_rows") <= leaf_rows), level, k, size["n"]))
+            found.append(_compare(points, pairs if last else pairs.filter(F.col("_rows") <= leaf_rows), level, k))
         if last:
             break
         pairs = pairs.filter(F.col("_rows") > leaf_rows)
@@ -158,18 +158,47 @@ def _per_sensor(one: DataFrame, near: DataFrame, k: int) -> DataFrame:
         (F.col("rn") + 1).cast("bigint").alias("rn"))
 
 
-def _compare(points: DataFrame, pairs: DataFrame, level: int, k: int, n_pairs: int = 1) -> DataFrame:
-    """The ``k + 1`` nearest sensors of each place among the cells paired with its own."""
+def _compare(points: DataFrame, pairs: DataFrame, level: int, k: int) -> DataFrame:
+    """The ``k + 1`` nearest sensors of each place among the cells paired with its own.
+
+    A cell's places and the sensors of its partners, at most some thousands unless many share
+    a finest cell, meet in one group. There the squared straight distances are taken as matrices, part by
+    part, and only sensors not farther than the ``k + 1``-th go on; distances on the sphere
+    and the order by them are left to Spark.
+    """
+    q, c = _names("q"), _names("c")
     places = points.select("lat", "lon", *AXES, *_cell("q", level)).distinct()
-    others = points.select(F.col("key").alias("key2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"),
-                           *[F.col(a).alias(f"{a}2") for a in AXES], *_cell("c", level))
-    chord = reduce(lambda s, d: s + d * d, [F.col(a) - F.col(f"{a}2") for a in AXES], F.lit(0.0))
-    # Each pair stands for many comparisons, more work than its bytes suggest: a number of
-    # partitions that follows the pairs keeps Spark from joining them into few tasks.
-    tasks = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_pairs // PAIRS_PER_TASK))
-    reached = (pairs.repartition(tasks, *_names("q")).join(places, _names("q")).join(others, _names("c"))
-               .filter(F.col("_reach").isNull() | (chord <= F.col("_reach") * (1 + 1e-6)))
-               .select("lat", "lon", "key2", haversine_km("lat", "lon", "lat2", "lon2").alias("dist_km")))
+    seen = ["key", "lat", "lon", *AXES]
+    others = points.select(*[F.col(n).alias(f"{n}2") for n in seen], *_cell("c", level))
+    near = pairs.select(*q, *c).join(others, c).select(*q, *[f"{n}2" for n in seen])
+
+    def candidates(mine, theirs):
+        import numpy as np
+        import pyarrow as pa
+
+        here = np.stack([mine.column(a).to_numpy() for a in AXES], axis=1)
+        there = np.stack([theirs.column(f"{a}2").to_numpy() for a in AXES], axis=1)
+        found = []
+        for i in range(0, len(here), BLOCK) if len(there) else ():
+            part = here[i:i + BLOCK]
+            best = np.full((len(part), 0), 0.0)
+            for j in range(0, len(there), WIDE):
+                chord = sum((part[:, None, d] - there[None, j:j + WIDE, d]) ** 2 for d in range(3))
+                best = np.sort(np.partition(np.c_[best, chord], min(k, best.shape[1] + chord.shape[1] - 1), axis=1)[:, :k + 1], axis=1)
+            reach = best[:, -1] * (1 + 1e-6) + 1e-18
+            for j in range(0, len(there), WIDE):
+                chord = sum((part[:, None, d] - there[None, j:j + WIDE, d]) ** 2 for d in range(3))
+                a, b = np.nonzero(chord <= reach[:, None])
+                found.append((a + i, b + j))
+        a = np.concatenate([f[0] for f in found]) if found else np.zeros(0, dtype=np.int64)
+        b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, dtype=np.int64)
+        mine, theirs = mine.take(pa.array(a)), theirs.take(pa.array(b))
+        return pa.table({"lat": mine.column("lat"), "lon": mine.column("lon"), "key2": theirs.column("key2"),
+                         "lat2": theirs.column("lat2"), "lon2": theirs.column("lon2")})
+
+    reached = places.groupBy(*q).cogroup(near.groupBy(*q)).applyInArrow(
+        candidates, "lat double, lon double, key2 string, lat2 double, lon2 double")
+    reached = reached.select("lat", "lon", "key2", haversine_km("lat", "lon", "lat2", "lon2").alias("dist_km"))
     rank = F.row_number().over(Window.partitionBy("lat", "lon").orderBy("dist_km", "key2"))
     return reached.withColumn("_rn", rank).filter(F.col("_rn") <= k + 1).drop("_rn")
 

@@ -269,3 +269,14 @@ def test_gap_tables_composed_by_doubling():
         states = [((int(bits) >> s) & 1) + 2 * (s & 1) for s in states]
         want.append(states)
     assert impute._chain(impute._maps(tables)).tolist() == want
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_the_long_grid_is_imputed(spark, folder):
+    """The grid that the benchmark times has lone gaps and runs, and takes the imputing branch."""
+    from checks import tables
+
+    grid = tables.long_grid(spark, folder)
+    share = quality.missing_rate(grid, "value").first()[0]
+    assert 0.05 <= share < 0.2
+    assert [r[0] for r in impute.qa_qc_impute(grid, "time", "value").select("impute_flag").distinct().collect()] == ["impute_5to20"]
