@@ -8,7 +8,9 @@ text alone, so a row is cut alike in every run, task and batch.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +28,18 @@ SEED = 42
 #: A character without a piece stands in a sampled sequence as this plus its code point.
 LOOSE = 1 << 24
 PART_CHARS = 1 << 20
+DENSE = 6
 SEGMENT = re.compile(r" *[^ \n]+|\n| +")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def cut_segments(text: str) -> list[str]:
+    """The parts of a text that pieces never reach over: line ends, and words with the spaces before them."""
+    if "  " in text or "\0" in text:
+        return SEGMENT.findall(text)
+    return [s for s in text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if s]
+
+
 @dataclass
 class Pieces:
     """A vocabulary: pieces with their log weights, the 256 byte pieces, every id's bytes."""
@@ -108,42 +118,61 @@ class Lattice:
         self.hashes, self.hash_ids = hashes[order], np.array(list(pieces.ids.values()))[order]
         if (self.hashes[1:] == self.hashes[:-1]).any():
             raise ValueError("two pieces share a hash")
-        self.maybe = np.zeros(1 << 20, dtype=bool)  # by the first 20 bits: most substrings are no piece
-        self.maybe[self.hashes >> np.uint64(44)] = True
+        # where hashes with the same first 20 bits begin; one more slot than there are hashes ends every search
+        self.bucket = np.searchsorted(self.hashes, np.arange(1 << 20, dtype=np.uint64) << np.uint64(44)).astype(np.int32)
+        sizes = np.diff(np.r_[self.bucket, len(self.hashes)])
+        self.crowd, self.maybe = int(sizes.max()), sizes > 0
+        self.hashes, self.hash_ids = np.r_[self.hashes, np.zeros(self.crowd, np.uint64)], np.r_[self.hash_ids, np.zeros(self.crowd, np.int64)]
+
+    def _known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are a piece's, and whose."""
+        at, hit = self.bucket[hashes >> np.uint64(44)], np.zeros(len(hashes), dtype=bool)
+        where = at
+        for k in range(self.crowd):
+            same = self.hashes[at + k] == hashes
+            where, hit = np.where(same, at + k, where), hit | same
+        return hit, self.hash_ids[where]
 
     @staticmethod
     def _power(n: int) -> np.uint64:
-        return np.uint64(pow(int(_BASE), n, 1 << 64))
+        return np.uint64(pow(int(_BASE), n + 1, 1 << 64))
 
     def build(self, segments: list[str]) -> None:
         """Filter forward: for every position the weight of its prefix, and each incoming piece's share of it."""
         codes = np.frombuffer("".join(segments).encode("utf-32-le"), dtype="<u4").astype(np.int64)
-        lengths = np.array([len(s) for s in segments], dtype=np.int64)
+        lengths = np.fromiter(map(len, segments), dtype=np.int64, count=len(segments))
         self.ends = np.cumsum(lengths) - 1  # node v is the position after character v
         place = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         mixed, hashes = (codes + 1).astype(np.uint64), np.zeros(len(codes), dtype=np.uint64)
-        last = len(self.hashes) - 1
-        found_node, found_length, found_piece = [], [], []
-        for n in range(self.longest):
-            at = np.flatnonzero(place >= n)
-            if not len(at):
-                break
-            hashes[at] += mixed[at - n] * self._power(n)
-            if n:
-                at = at[self.maybe[hashes[at] >> np.uint64(44)]]
-            own = hashes[at]
-            where = np.minimum(np.searchsorted(self.hashes, own), last)
-            known = self.hashes[where] == own
-            piece = self.hash_ids[where]
+        found: list[tuple[np.ndarray, np.ndarray]] = []  # by length, the nodes where a piece ends, and the pieces
+        for n in range(min(self.longest, len(codes))):
+            if n < DENSE:  # whole arrays at once; what reaches over a segment's start is left out below
+                hashes[n:] += mixed[:len(mixed) - n] * self._power(n)
+                at = np.flatnonzero(self.maybe[hashes >> np.uint64(44)] & (place >= n)) if n else np.arange(len(codes))
+            else:
+                long = np.flatnonzero(place >= n) if n == DENSE else long[place[long] >= n]
+                if not len(long):
+                    break
+                hashes[long] += mixed[long - n] * self._power(n)
+                at = long[self.maybe[hashes[long] >> np.uint64(44)]]
+            known, piece = self._known(hashes[at])
             if n == 0:  # every character can stand alone
-                piece, known = np.where(known, piece, LOOSE + codes[at]), np.ones(len(at), dtype=bool)
-            found_node.append(at[known])
-            found_length.append(np.full(int(known.sum()), n + 1))
-            found_piece.append(piece[known])
-        node, length, piece = map(np.concatenate, (found_node, found_length, found_piece))
-        # by position in the segment, then node: all segments move on together
-        order = np.lexsort((length, node, place[node]))
-        node, length, piece = node[order], length[order], piece[order]
+                found.append((at, np.where(known, piece, LOOSE + codes)))
+            else:
+                found.append((at[known], piece[known]))
+        # Listed by position in the segment, then node, then length: all segments move on together.
+        many = np.zeros(len(codes), dtype=np.int64)
+        for at, _ in found:
+            many[at] += 1
+        by_place = np.argsort(place.astype(np.uint16) if place.max() < 1 << 16 else place, kind="stable")
+        begins = np.empty(len(codes), dtype=np.int64)
+        begins[by_place] = np.cumsum(many[by_place]) - many[by_place]
+        self.first, slot = begins, begins.copy()
+        node, length, piece = (np.empty(int(many.sum()), dtype=np.int64) for _ in range(3))
+        for n, (at, own) in enumerate(found):
+            into = slot[at]
+            node[into], length[into], piece[into] = at, n + 1, own
+            slot[at] += 1
         loose = piece >= LOOSE
         weight = self.alpha * np.where(loose, self.pieces.weights.min() * 2, self.pieces.weights[np.where(loose, 0, piece)])
         first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
@@ -162,17 +191,17 @@ class Lattice:
             sums = np.add.reduceat(share[own], groups)
             forward[node[begin:end][groups]] = top + np.log(sums)
             share[own] /= np.repeat(sums, counts)
-        order = np.argsort(node, kind="stable")
-        node, self.length, self.piece, share = node[order], length[order], piece[order], share[order]
-        first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])  # every node has a piece that ends there
+        self.length, self.piece = length, piece
         rank = np.arange(len(share)) - np.repeat(first, np.diff(np.r_[first, len(share)]))
         bound, summed = share.copy(), share
-        for n in range(1, int(rank.max(initial=0)) + 1):  # running sums node by node, the same in every batch
-            at = np.flatnonzero(rank == n)
+        later, n = np.flatnonzero(rank), 1
+        while len(later):  # running sums node by node, the same in every batch
+            at = later[rank[later] == n]
             bound[at] = bound[at - 1] + summed[at]
+            later, n = later[rank[later] > n], n + 1
         final = np.r_[first[1:], len(share)] - 1
         bound[final] = 1.0
-        self.first, self.bound = first, bound
+        self.bound = bound
         self.place = place
 
     def sample(self, kinds: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,18 +233,18 @@ class Lattice:
         """Ids of every text; null stays null, the empty text has no pieces."""
         segments, counts = [], []
         for text in texts:
-            own = SEGMENT.findall(" " + text) if text else []
+            own = cut_segments(" " + text) if text else []
             segments += own
             counts.append(len(own))
         counts = np.array(counts, dtype=np.int64)
         keys = segment_keys(row_keys, counts, seed)
         values, sizes = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-        ends = np.cumsum([len(s) for s in segments], dtype=np.int64)
+        ends = np.cumsum(np.fromiter(map(len, segments), dtype=np.int64, count=len(segments)))
         start = 0
         while start < len(segments):  # segments do not depend on each other: a part of them at a time
             end = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + PART_CHARS)))
-            known: dict[str, int] = {}
-            kinds = np.array([known.setdefault(s, len(known)) for s in segments[start:end]])
+            known: defaultdict[str, int] = defaultdict(count().__next__)
+            kinds = np.fromiter(map(known.__getitem__, segments[start:end]), dtype=np.int64, count=end - start)
             self.build(list(known))
             drawn, numbers = self.sample(kinds, keys[start:end])
             values.append(drawn)

@@ -76,6 +76,12 @@ def test_a_row_is_cut_alike_in_any_batch(lattice, monkeypatch):
     assert lattice.encode(TEXTS, keys, seed=1).to_pylist() != whole
 
 
+@given(st.text(alphabet=" a\nb\0\t", max_size=30))
+@settings(deadline=None, max_examples=500)
+def test_segments_either_way(text):
+    assert P.cut_segments(text) == P.SEGMENT.findall(text)
+
+
 def test_samples_follow_the_weights(vocabulary, lattice):
     """Segmentations of a short word come as often as the product of their weights says."""
     word, n = " the", 20_000
