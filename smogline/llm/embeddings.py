@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -85,19 +84,28 @@ def _merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
+def _found(u, v, n) -> pa.Table:
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "n": pa.array(n, pa.int64())})
+
+
 def _compare(threshold: float):
     """Home vectors of a cell against vectors that may be near one: links per home, and edges that connect them."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        homes, visitors = rows[rows["home"]], rows[~rows["home"]]
-        if not len(homes) or not len(visitors):
-            return pd.DataFrame({"u": [], "v": [], "n": []}).astype("int64")
-        x, y = np.stack(homes["vector"].to_numpy()), np.stack(visitors["vector"].to_numpy())
-        mine, theirs = homes["node"].to_numpy(np.int64), visitors["node"].to_numpy(np.int64)
-        weight = visitors["weight"].to_numpy(np.int64)
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        at_home = rows.column("home").to_numpy()
+        homes, visitors = rows.filter(pa.array(at_home)), rows.filter(pa.array(~at_home))
+        if not homes.num_rows or not visitors.num_rows:
+            return _found([], [], [])
+
+        def matrix(side: pa.Table) -> np.ndarray:
+            return side.column("vector").combine_chunks().flatten().to_numpy().reshape(side.num_rows, -1)
+
+        x, y = matrix(homes), matrix(visitors)
+        mine, theirs, weight = homes.column("node").to_numpy(), visitors.column("node").to_numpy(), visitors.column("weight").to_numpy()
         turned = _unit(y) @ rotation(y.shape[1])
-        packed = np.frombuffer(b"".join(homes["code"]), dtype=np.uint8).reshape(len(x), -1)
-        factor = homes["factor"].to_numpy()
+        packed = np.frombuffer(b"".join(homes.column("code").to_pylist()), dtype=np.uint8).reshape(len(x), -1)
+        factor = homes.column("factor").to_numpy()
         links, root = np.zeros(len(x), dtype=np.int64), np.arange(len(x) + len(y))
         for i in range(0, len(x), 256):
             for j in range(0, len(y), 4096):
@@ -112,8 +120,8 @@ def _compare(threshold: float):
         names = np.r_[mine, theirs]
         moved = np.flatnonzero(root != np.arange(len(root)))
         found = np.flatnonzero(links)
-        return pd.DataFrame({"u": np.r_[names[moved], mine[found]], "v": np.r_[names[root[moved]], np.full(len(found), -1)],
-                             "n": np.r_[np.zeros(len(moved), dtype=np.int64), links[found]]})
+        return _found(np.r_[names[moved], mine[found]], np.r_[names[root[moved]], np.full(len(found), -1)],
+                      np.r_[np.zeros(len(moved), dtype=np.int64), links[found]])
 
     return run
 
@@ -232,7 +240,7 @@ def dedup(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddin
                  F.sequence(F.lit(0), F.col("hs") - 1))))
              .withColumn("vt", F.explode(F.when(F.col("home"), F.sequence(F.lit(0), F.col("vs") - 1)).otherwise(
                  F.array(F.pmod(lot, "vs").cast("int"))))))
-    found = cut(dealt.groupBy("space", "cell", "ht", "vt").applyInPandas(_compare(threshold), "u long, v long, n long"))
+    found = cut(dealt.groupBy("space", "cell", "ht", "vt").applyInArrow(_compare(threshold), "u long, v long, n long"))
     links = found.filter("v < 0").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n"))
     linked = components(found.filter("v >= 0").select("u", "v"))
     named = (nodes.select("node", "key", "weight", "first").join(linked, "node", "left")

@@ -5,13 +5,14 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from smogline.llm.batches import BATCH_BYTES, BATCH_ROWS, column, map_batches
-from smogline.llm.cuckoo import Cuckoo
+from smogline.llm.cuckoo import SLOTS, Cuckoo
 
 WHITE = " \t\n\x0b\x0c\r"
 MIN_CHARS = 20
@@ -136,28 +137,33 @@ class LineIndex:
         ups = now.join(old, "key", "left_anti").withColumn("up", F.lit(True))
         downs = old.join(now, "key", "left_anti").withColumn("up", F.lit(False))
 
-        def update(changes: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-            shard = int(changes["shard"].iloc[0] if len(changes) else known["shard"].iloc[0])
-            up, down = list(changes.loc[changes["up"], "key"]), list(changes.loc[~changes["up"], "key"])
-            if not len(known):
-                return pd.DataFrame({"shard": [shard], "data": [Cuckoo.built(_matrix(up)).dump()]})
-            filter_ = Cuckoo.load(known["data"].iloc[0])
+        def table(shard: int, data: bytes | None) -> pa.Table:
+            return pa.table({"shard": pa.array([shard], pa.int32()), "data": pa.array([data], pa.binary())})
+
+        def update(changes: pa.Table, known: pa.Table) -> pa.Table:
+            shard = (changes if changes.num_rows else known).column("shard")[0].as_py()
+            up, down = [], []
+            for key, rises in zip(changes.column("key").to_pylist(), changes.column("up").to_pylist()):
+                (up if rises else down).append(key)
+            if not known.num_rows:
+                return table(shard, Cuckoo.built(_matrix(up)).dump())
+            filter_ = Cuckoo.load(known.column("data")[0].as_py())
             if down:
                 filter_.remove(_matrix(down))
             fits = not up or filter_.add(_matrix(up))
-            return pd.DataFrame({"shard": [shard], "data": [filter_.dump() if fits else None]})
+            return table(shard, filter_.dump() if fits else None)
 
-        def rebuild(keys: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"shard": [int(keys["shard"].iloc[0])], "data": [Cuckoo.built(_matrix(list(keys["key"]))).dump()]})
+        def rebuild(keys: pa.Table) -> pa.Table:
+            return table(keys.column("shard")[0].as_py(), Cuckoo.built(_matrix(keys.column("key").to_pylist())).dump())
 
         changes = ups.union(downs).withColumn("shard", self._shard())
         here, there = f"{self.path}/updates/{version}", f"{self.path}/filters/{version}"
-        (changes.groupBy("shard").cogroup(before.groupBy("shard")).applyInPandas(update, "shard int, data binary")
+        (changes.groupBy("shard").cogroup(before.groupBy("shard")).applyInArrow(update, "shard int, data binary")
          .write.mode("overwrite").parquet(here))
         updated = self.spark.read.parquet(here)
         full = updated.filter("data IS NULL").select("shard")
         again = (now.withColumn("shard", self._shard()).join(full, "shard", "left_semi").groupBy("shard")
-                 .applyInPandas(rebuild, "shard int, data binary"))
+                 .applyInArrow(rebuild, "shard int, data binary"))
         updated.filter("data IS NOT NULL").union(again).write.mode("overwrite").parquet(there)
 
     def dedup(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_bytes: int = FILTER_BYTES) -> DataFrame:
@@ -185,28 +191,31 @@ class LineIndex:
                 own = {k for k in line_keys(t, least) if k}
                 keys += own
                 ids += [i] * len(own)
+            if keys and filters is not None:
+                at = np.flatnonzero(_asked(filters.value, keys, shards))
+                keys, ids = [keys[i] for i in at], [ids[i] for i in at]
             return {"key": keys, "doc_id": ids} if keys else None
 
         rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-        found = map_batches(rows, candidates, "key binary, doc_id long").withColumn("shard", self._shard())
-        if filters is not None:
-            found = map_batches(found, _asker(filters), "key binary, doc_id long, shard int")
+        found = map_batches(rows, candidates, "key binary, doc_id long")
         repeated = self.counts().filter(F.col("n_docs") >= self.min_docs).select("key", "top")
         drops = (found.join(repeated, "key").filter("doc_id <> top").groupBy(F.col("doc_id").alias("_line_doc"))
                  .agg(F.collect_set("key").alias("_line_keys")))
 
-        @F.pandas_udf("text string, n_lines long, n_dropped long")
-        def without(texts: pd.Series, drop: pd.Series) -> pd.DataFrame:
-            out = []
-            for t, own in zip(texts, drop):
+        @arrow_udf("text string, n_lines long, n_dropped long")
+        def without(texts: pa.Array, drop: pa.Array) -> pa.Array:
+            out, total, gone = [], [], []
+            for t, own in zip(texts.to_pylist(), drop.to_pylist()):
                 lines = (t or "").split("\n")
-                if own is None:
-                    out.append((t, len(lines), 0))
-                    continue
-                own = set(own)
-                kept = [line for line in lines if line_key(line, least) not in own]
-                out.append(("\n".join(kept), len(lines), len(lines) - len(kept)))
-            return pd.DataFrame(out, columns=["text", "n_lines", "n_dropped"])
+                kept = lines
+                if own is not None:
+                    own = set(own)
+                    kept = [line for line in lines if line_key(line, least) not in own]
+                out.append(t if own is None else "\n".join(kept))
+                total.append(len(lines))
+                gone.append(len(lines) - len(kept))
+            return pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
+                                              ["text", "n_lines", "n_dropped"])
 
         spark = self.spark
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
@@ -218,23 +227,17 @@ class LineIndex:
         return done.select(*kept, *[F.col(new[c]).alias(c) for c in ("n_lines", "n_dropped") if c not in docs.columns])
 
 
-def _asker(filters):
-    """Keeps the keys their shard's filter contains; a shard without a filter has none."""
-
-    def ask(batch: pa.RecordBatch) -> dict | None:
-        keys, shards = column(batch, "key"), batch.column("shard").to_numpy()
-        loaded = filters.value
-        stays = np.zeros(len(keys), dtype=bool)
-        if keys:
-            matrix = _matrix(keys)
-            for shard in np.unique(shards):
-                if int(shard) in loaded:
-                    own = shards == shard
-                    stays[own] = Cuckoo.load(loaded[int(shard)]).contains(matrix[own])
-        at = np.flatnonzero(stays)
-        if not len(at):
-            return None
-        ids = column(batch, "doc_id")
-        return {"key": [keys[i] for i in at], "doc_id": [ids[i] for i in at], "shard": shards[at]}
-
-    return ask
+def _shard_of(key: bytes, shards: int) -> int:
+    """The shard that ``pmod(xxhash64(key), shards)`` gives a key."""
+    return ((xxhash.xxh64_intdigest(key, 42) + (1 << 63)) % (1 << 64) - (1 << 63)) % shards
+
+
+def _asked(filters: dict[int, bytes], keys: list[bytes], shards: int) -> np.ndarray:
+    """Which keys their shard's filter contains; a shard without a filter has none."""
+    shard, matrix = np.array([_shard_of(k, shards) for k in keys]), _matrix(keys)
+    stays = np.zeros(len(keys), dtype=bool)
+    for own in np.unique(shard):
+        if int(own) in filters:
+            here = shard == own
+            stays[here] = Cuckoo(np.frombuffer(filters[int(own)], dtype=np.uint16).reshape(-1, SLOTS)).contains(matrix[here])
+    return stays
