@@ -6,10 +6,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from smogline.llm.batches import column, map_batches, map_stream
 from smogline.session import cut
@@ -18,7 +18,7 @@ BITS = 13
 GRAMS = 3
 SAMPLE = 1000
 CENTROIDS = 3
-MAX_LANGUAGES = 1000
+MAX_LANGUAGES = 200
 PART_CHARS = 1 << 20
 FLOOR, CEILING = 0.04, 0.1
 SPARE = 0.8
@@ -29,7 +29,7 @@ _LETTERS: list[np.ndarray] = []
 def letters() -> np.ndarray:
     """Which code points are letters, once per worker."""
     if not _LETTERS:
-        _LETTERS.append(np.array([chr(i).isalpha() for i in range(0x110000)]))
+        _LETTERS.append(np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000))
     return _LETTERS[0]
 
 
@@ -132,9 +132,15 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     idf = np.zeros(1 << bits)
     for gram in range(1 << bits):
         idf[gram] = np.log((1 + found.get(-1, 0)) / (1 + found.get(gram, 0))) + 1
-    sizes = train.groupBy("lang").agg(F.count("*").alias("_n"))
+    sizes = train.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    # the rates are part of the filter: a join would deal whole texts by language
+    rate = F.lit(0.0)
+    for row in sizes:
+        rate = F.when(F.col("lang") == row["lang"], sample / row["n"]).otherwise(rate)
     draw = F.xxhash64("doc_id", F.lit(11)).bitwiseAND(F.lit((1 << 32) - 1)) / F.lit(float(1 << 32))
-    chosen = train.join(sizes, "lang").filter(draw < F.lit(float(sample)) / F.col("_n")).select("text", "lang")
+    chosen = train.filter(draw < rate).select("text", "lang")
 
     def vectors(batch: pa.RecordBatch) -> dict | None:
         out, langs = [], []
@@ -145,17 +151,17 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
                 langs.append(own)
         return {"lang": langs, "vector": out} if out else None
 
-    def centres(rows: pd.DataFrame) -> pd.DataFrame:
-        matrix = np.stack([np.frombuffer(v, dtype=np.float32) for v in sorted(rows["vector"])]).astype(np.float64)
+    def centres(rows: pa.Table) -> pa.Table:
+        matrix = np.stack([np.frombuffer(v, dtype=np.float32) for v in sorted(rows.column("vector").to_pylist())])
         middle, own = cluster(matrix, centroids)
-        near = (matrix * middle[own]).sum(axis=1)
+        near = np.einsum("ij,ij->i", matrix, middle[own], dtype=np.float64)
         accepts = max(FLOOR, min(CEILING, float(near.mean() - deviations * near.std()), SPARE * float(near.min())))
-        return pd.DataFrame({"lang": rows["lang"].iloc[0], "centroid": [m.tobytes() for m in middle], "accepts": accepts})
+        return pa.table({"lang": pa.array([rows.column("lang")[0].as_py()] * len(middle), pa.string()),
+                         "centroid": pa.array([m.astype(np.float64).tobytes() for m in middle], pa.binary()),
+                         "accepts": pa.array([accepts] * len(middle), pa.float64())})
 
     learnt = (cut(map_batches(chosen, vectors, "lang string, vector binary")).groupBy("lang")
-              .applyInPandas(centres, "lang string, centroid binary, accepts double").limit(MAX_LANGUAGES * centroids + 1).collect())
-    if len({r["lang"] for r in learnt}) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+              .applyInArrow(centres, "lang string, centroid binary, accepts double").collect())
     learnt.sort(key=lambda r: (r["lang"], bytes(r["centroid"])))
     matrix = np.stack([np.frombuffer(r["centroid"], dtype=np.float64) for r in learnt]) if learnt else np.zeros((0, 1 << bits))
     return Model(idf, [r["lang"] for r in learnt], matrix, np.array([r["accepts"] for r in learnt]))
@@ -199,10 +205,10 @@ def accept(docs: DataFrame, model: Model, text: str = "text", bits: int = BITS)
     """The rows of ``docs`` whose text is not rejected, all columns as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def stays(texts: pd.Series) -> pd.Series:
+    @arrow_udf("boolean")
+    def stays(texts: pa.Array) -> pa.Array:
         known, out = shared.value, []
-        for t in texts:
+        for t in texts.to_pylist():
             grams = counts(t, bits)
             if grams is None or not len(known.languages):
                 out.append(False)
@@ -210,6 +216,6 @@ def accept(docs: DataFrame, model: Model, text: str = "text", bits: int = BITS)
             near = known.centroids @ _weighted(grams, known.idf)
             best = int(near.argmax())
             out.append(bool(near[best] >= known.accepts[best]))
-        return pd.Series(out, dtype=bool)
+        return pa.array(out, pa.bool_())
 
     return docs.filter(stays(docs[text]))
