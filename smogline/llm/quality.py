@@ -189,7 +189,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     draw = F.xxhash64("_label_id", F.lit(13)).bitwiseAND(F.lit((1 << 32) - 1)) / F.lit(float(1 << 32))
     known = known.filter(draw < float(sample) / max(1, n))
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    joined = own.join(known, own["doc_id"] == known["_label_id"]).select("doc_id", "text", "_label")
+    # the sample is bounded by its parameter, so it may go to every task: texts are not dealt
+    joined = own.join(F.broadcast(known), own["doc_id"] == known["_label_id"]).select("doc_id", "text", "_label")
     rows = sorted((r["doc_id"], r["_label"], list(r["features"])) for r in measured(joined, "doc_id", "text", "_label").collect())
     if len({r[1] for r in rows}) < 2:
         share = np.mean([r[1] for r in rows]) if rows else 0.5
