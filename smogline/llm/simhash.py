@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -156,13 +156,13 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     return prints.join(named.join(smallest, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One row of ``docs`` per group, the one with the smallest doc_id, all columns as they are.
+def keep_one(docs: DataFrame, find: Callable[..., DataFrame] = groups, **options) -> DataFrame:
+    """One row of ``docs`` per group of ``find``, the one with the smallest doc_id, all columns as they are.
 
     Rows whose doc_id is null stay: they cannot be named as copies. Of rows that repeat the
     kept id one stays.
     """
-    kept = groups(docs, **options).filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_n"))
+    kept = find(docs, **options).filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("_n"))
     kept = cut(kept)
     ids = kept.withColumnRenamed("doc_id", "_kept")
     stays = docs.join(ids.filter("_n = 1"), F.col("doc_id") == F.col("_kept"), "left_semi")
