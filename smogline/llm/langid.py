@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,8 +21,11 @@ SAMPLE = 1000
 CENTROIDS = 3
 MAX_LANGUAGES = 200
 PART_CHARS = 1 << 20
-FLOOR, CEILING = 0.04, 0.1
+FLOOR = 0.04
 SPARE = 0.8
+LOWEST = 0.01
+EXAMPLES = 5
+BINS = 2 * BITS + 1
 UNDETERMINED = "und"
 _LETTERS: list[np.ndarray] = []
 
@@ -70,9 +74,27 @@ def _weighted(found: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return vector / norm if norm > 0 else vector
 
 
+def size_bin(found: np.ndarray) -> int:
+    """Texts of about as many different n-grams, two bins for each doubling: repeats do not lengthen a text."""
+    return min(BINS - 1, int(2 * np.log2(max(1, np.count_nonzero(found)))))
+
+
+def excerpts(text: str) -> Iterator[str]:
+    """A run of 1, 2, 4, ... words at a place given by a hash, then the text; of characters where words are not parted."""
+    units, glue = text.split(), " "
+    if len(text) > 20 * len(units):
+        units, glue = text, ""
+    n, seed = 1, zlib.crc32(text.encode())
+    while n < len(units):
+        start = zlib.crc32(n.to_bytes(8, "little"), seed) % (len(units) - n + 1)
+        yield glue.join(units[start:start + n])
+        n *= 2
+    yield text
+
+
 @dataclass
 class Model:
-    """Languages, centroids (a row each), and the least cosine at which a centroid accepts a text."""
+    """Languages, centroids (a row each), and the least cosine at which a centroid accepts a text, by :func:`size_bin`."""
 
     idf: np.ndarray
     languages: list[str]
@@ -102,15 +124,16 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = 20) -> tuple[np.ndarray,
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE,
-        centroids: int = CENTROIDS, bits: int = BITS, deviations: float = 6.0) -> Model:
+        centroids: int = CENTROIDS, bits: int = BITS, lowest: float = LOWEST) -> Model:
     """Learn from the rows that are not held out and whose ``lang`` is not null.
 
     Document frequencies are counted over all of these texts. Centroids are clustered from about
-    ``sample`` texts a language, drawn by a hash of the id. A language accepts what lies neither far
-    below the mean cosine of its sample (``deviations`` standard deviations) nor below nearly all
-    of the sample; the limit is between ``FLOOR`` and ``CEILING``, as a clean text of a few words
-    has few n-grams and so a small cosine. Without any rows to learn from there is no language,
-    and everything is undetermined.
+    ``sample`` texts a language, drawn by a hash of the id. The limit of a language depends on the
+    number of different n-grams, as a clean text of a few words has few and so a small cosine: it is
+    ``SPARE`` times the quantile ``lowest`` of the cosines of the sampled texts and their excerpts
+    of that size. Sizes with fewer than ``EXAMPLES`` take the limit of the next smaller one, the
+    smallest ``FLOOR``. Without any rows to learn from there is no language, and everything is
+    undetermined.
     """
     spark = docs.sparkSession
     train = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
@@ -140,7 +163,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     for row in sizes:
         rate = F.when(F.col("lang") == row["lang"], sample / row["n"]).otherwise(rate)
     draw = F.xxhash64("doc_id", F.lit(11)).bitwiseAND(F.lit((1 << 32) - 1)) / F.lit(float(1 << 32))
-    chosen = train.filter(draw < rate).select("text", "lang")
+    chosen = cut(train.filter(draw < rate).select("text", "lang"))
 
     def vectors(batch: pa.RecordBatch) -> dict | None:
         out, langs = [], []
@@ -153,18 +176,40 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
 
     def centres(rows: pa.Table) -> pa.Table:
         matrix = np.stack([np.frombuffer(v, dtype=np.float32) for v in sorted(rows.column("vector").to_pylist())])
-        middle, own = cluster(matrix, centroids)
-        near = np.einsum("ij,ij->i", matrix, middle[own], dtype=np.float64)
-        accepts = max(FLOOR, min(CEILING, float(near.mean() - deviations * near.std()), SPARE * float(near.min())))
+        middle, _ = cluster(matrix, centroids)
         return pa.table({"lang": pa.array([rows.column("lang")[0].as_py()] * len(middle), pa.string()),
-                         "centroid": pa.array([m.astype(np.float64).tobytes() for m in middle], pa.binary()),
-                         "accepts": pa.array([accepts] * len(middle), pa.float64())})
+                         "centroid": pa.array([m.astype(np.float64).tobytes() for m in middle], pa.binary())})
 
     learnt = (cut(map_batches(chosen, vectors, "lang string, vector binary")).groupBy("lang")
-              .applyInArrow(centres, "lang string, centroid binary, accepts double").collect())
+              .applyInArrow(centres, "lang string, centroid binary").collect())
     learnt.sort(key=lambda r: (r["lang"], bytes(r["centroid"])))
     matrix = np.stack([np.frombuffer(r["centroid"], dtype=np.float64) for r in learnt]) if learnt else np.zeros((0, 1 << bits))
-    return Model(idf, [r["lang"] for r in learnt], matrix, np.array([r["accepts"] for r in learnt]))
+    languages = [r["lang"] for r in learnt]
+    shared = spark.sparkContext.broadcast((idf, matrix, np.array(languages)))
+
+    def cosines(batch: pa.RecordBatch) -> dict | None:
+        idf, matrix, names = shared.value
+        langs, sizes, scores = [], [], []
+        for t, own in zip(column(batch, "text"), column(batch, "lang")):
+            centres = matrix[names == own]
+            for part in excerpts(t) if t and len(centres) else ():
+                grams = counts(part, bits)
+                if grams is not None:
+                    langs.append(own)
+                    sizes.append(size_bin(grams))
+                    scores.append(float((centres @ _weighted(grams, idf)).max()))
+        return {"lang": langs, "size": sizes, "score": scores} if langs else None
+
+    low = {}
+    if languages:
+        scored = map_batches(chosen, cosines, "lang string, size int, score double").groupBy("lang", "size")
+        found = scored.agg(F.count("*").alias("n"), F.percentile("score", F.lit(lowest)).alias("low")).collect()  # BINS rows a language
+        low = {(r["lang"], r["size"]): SPARE * r["low"] for r in found if r["n"] >= EXAMPLES}
+    accepts = np.full((len(languages), BINS), FLOOR)
+    for i, own in enumerate(languages):
+        for size in range(BINS):
+            accepts[i, size] = max(FLOOR, low.get((own, size), accepts[i, size - 1] if size else FLOOR))
+    return Model(idf, languages, matrix, accepts)
 
 
 def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
@@ -193,7 +238,7 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
                 best = int(row.argmax())
                 langs.append(known.languages[best])
                 scores.append(float(min(1.0, max(0.0, row[best]))))
-                rejected.append(bool(row[best] < known.accepts[best]))
+                rejected.append(bool(row[best] < known.accepts[best, size_bin(grams)]))
         return {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "lang_pred": langs, "score": scores,
                 "rejected": rejected}
 
@@ -215,7 +260,7 @@ def accept(docs: DataFrame, model: Model, text: str = "text", bits: int = BITS)
                 continue
             near = known.centroids @ _weighted(grams, known.idf)
             best = int(near.argmax())
-            out.append(bool(near[best] >= known.accepts[best]))
+            out.append(bool(near[best] >= known.accepts[best, size_bin(grams)]))
         return pa.array(out, pa.bool_())
 
     return docs.filter(stays(docs[text]))
