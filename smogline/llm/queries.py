@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.llm import embeddings, exact, langid, lines, mixing, pieces, pii, quality, simhash, warc
+from smogline.llm import bpe, embeddings, exact, langid, lines, mixing, pieces, pii, quality, simhash, warc
 from smogline.session import scratch_path
 
 
@@ -79,6 +79,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as token ids, and the ids as text again."""
+    codec = bpe.Codec(spark)
+    done = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), codec), codec)
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_mixing": op2_mixing,
@@ -90,6 +99,7 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_embeddings": op9_embeddings,
     "op10_quality": op10_quality,
+    "op13_bpe": op13_bpe,
 }
 
 SQL = {

@@ -10,7 +10,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_one_query_per_operator_and_pipeline():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "simhash_dedup", "mix_sources", "sentencepiece"]
 
