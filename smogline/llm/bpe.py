@@ -12,10 +12,10 @@ import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
-from smogline.llm.batches import column, map_batches, map_stream
-from smogline.llm.words import RUN_BYTES, coded, pack, run_numbers, texts_of
-from smogline.session import cut
+from smogline.llm.batches import column, map_stream
+from smogline.llm.words import RUN_BYTES, coded, texts_of
 
 MODEL = "/opt/tokenizers/word_bpe_49k.json"
 #: A mark after a Latin letter begins a word of its own; no composed character begins with one of these marks.
@@ -86,20 +86,30 @@ class Codec:
             raise ValueError("the pieces of this vocabulary are not joined by spaces")
         self.shared = spark.sparkContext.broadcast(text)
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
-        pieces = pa.table({"token": pa.array(vocabulary.values(), pa.int32()), "piece": pa.array(vocabulary.keys(), pa.string())})
-        self.pieces = cut(spark.createDataFrame(pieces))
+        self.pieces = spark.sparkContext.broadcast((pa.array(vocabulary.values(), pa.int32()), pa.array(vocabulary.keys(), pa.string())))
 
 
 def encode_words(words: DataFrame, codec: Codec) -> DataFrame:
-    """word and ids for every different word of ``words`` (column ``word``, binary)."""
+    """``words`` (run, word, code) with the ids of every word in place of it.
+
+    Equal words of all runs come together, sorted, so each different word is encoded once.
+    """
     shared = codec.shared
 
-    def run(batch: pa.RecordBatch) -> dict:
-        found = column(batch, "word")
-        encoded = _tokenizer(shared)[0].encode_batch([w.decode("utf-8", "replace") for w in found], add_special_tokens=False)
-        return {"word": found, "ids": [e.ids for e in encoded]}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        tokenizer, last, own = _tokenizer(shared)[0], None, []
+        for batch in batches:
+            found, lists = column(batch, "word"), []
+            new = [w for w, before in zip(found, [last, *found]) if w != before]
+            encoded = iter(tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False))
+            for word in found:
+                if word != last:
+                    last, own = word, next(encoded).ids
+                lists.append(own)
+            yield {"run": batch.column("run"), "code": batch.column("code"), "ids": lists}
 
-    return map_batches(words.select("word").distinct(), run, "word binary, ids array<int>")
+    together = words.select("run", "word", "code").repartition("word").sortWithinPartitions("word")
+    return map_stream(together, run, "run long, code int, ids array<int>")
 
 
 def encode(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "text", run_bytes: int = RUN_BYTES) -> DataFrame:
@@ -115,7 +125,7 @@ def encode(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "t
                        F.col(text).cast("binary").alias("text"))
     shared = codec.shared
     words, texts = coded(rows, lambda text: _tokenizer(shared)[1](text), run_bytes)
-    table = cut(encode_words(words, codec))
+    known = encode_words(words, codec)
 
     def put_back(texts: pa.Table, words: pa.Table) -> pa.Table:
         ids, sizes, codes = texts_of(texts)
@@ -127,61 +137,26 @@ def encode(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "t
         return pa.table({"doc_id": pa.array(ids, pa.int64()),
                          "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), taken.flatten().cast(pa.int32()))})
 
-    known = words.join(table, "word").select("run", "code", "ids")
     return texts.groupBy("run").cogroup(known.groupBy("run")).applyInArrow(put_back, "doc_id long, ids array<int>")
 
 
-def decode(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", ids: str = "ids", run_bytes: int = RUN_BYTES) -> DataFrame:
-    """doc_id, ids and decoded for every row of ``docs``: its pieces by a join on their ids, joined by spaces.
+def decode(docs: DataFrame, codec: Codec, ids: str = "ids") -> DataFrame:
+    """``docs`` with ``decoded``: the pieces that a join on their ids finds, joined by spaces.
 
-    Special tokens are pieces as others are. Ids that the vocabulary lacks, and null ones, stand for
-    nothing. No ids give the empty text, null stays null, an empty table stays empty; other columns are ignored.
-    Each run of rows joins its different ids, not its occurrences, and puts the pieces back by position.
+    The table of pieces is bounded by the vocabulary, so every task holds it and joins its batches
+    of ids with it; nothing is shuffled. Special tokens are pieces as others are. Ids that the vocabulary
+    lacks, and null ones, stand for nothing. No ids give the empty text, null stays null, an empty
+    table stays empty, other columns stay as they are.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        numbers = run_numbers()
-
-        def emit(names: list, sizes: list, values: list) -> dict:
-            number, flat = next(numbers), np.concatenate(values)
-            seen, codes = np.unique(flat, return_inverse=True)
-            rest = [None] * len(seen)
-            return {"run": [number] * (len(seen) + 1), "token": [*seen.tolist(), None], "code": [*range(len(seen)), None],
-                    "names": [*rest, names], "sizes": [*rest, sizes], "codes": [*rest, pack(codes)]}
-
-        names, sizes, values, held = [], [], [], 0
-        for batch in batches:
-            lists = batch.column("ids")
-            lengths = pc.fill_null(pc.list_value_length(lists), -1).to_numpy().tolist()
-            flat, at = pc.fill_null(lists.flatten(), -1).to_numpy(), 0
-            for name, n in zip(column(batch, "doc_id"), lengths):
-                if names and held + max(n, 0) * 4 > run_bytes:
-                    yield emit(names, sizes, values)
-                    names, sizes, values, held = [], [], [], 0
-                names.append(name)
-                sizes.append(n)
-                values.append(flat[at:at + max(n, 0)].astype(np.int64))
-                at += max(n, 0)
-                held += max(n, 0) * 4
-        if names:
-            yield emit(names, sizes, values)
-
-    def put_back(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        whole = pc.is_valid(rows.column("codes"))
-        known, texts = rows.filter(pc.invert(whole)).sort_by("code"), rows.filter(whole)
-        names, sizes, codes = texts_of(texts.rename_columns({"names": "ids"}))
-        pieces, tokens = known.column("piece").combine_chunks(), known.column("token").combine_chunks()
-        bounds, none = np.r_[0, np.cumsum(np.maximum(sizes, 0))], pa.array(sizes < 0)
-        there = pc.is_valid(pieces).to_numpy(zero_copy_only=False)[codes]
-        ends = np.r_[0, np.cumsum(there)][bounds]
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces.take(pa.array(codes[there])), mask=none)
-        numbers = tokens.take(pa.array(codes)).to_numpy()
-        kept = pa.array(numbers, pa.int32(), mask=numbers < 0)
-        return pa.table({"doc_id": pa.array(names, pa.int64()), "ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), kept, mask=none),
-                         "decoded": pc.binary_join(lists, " ")})
-
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(ids).cast("array<int>").alias("ids"))
-    runs = map_stream(rows, run, "run long, token int, code int, names array<long>, sizes array<int>, codes binary")
-    joined = runs.join(F.broadcast(codec.pieces), "token", "left")  # bounded by the vocabulary
-    return joined.groupBy("run").applyInArrow(put_back, "doc_id long, ids array<int>, decoded string")
+    shared = codec.pieces
+
+    @arrow_udf("string")
+    def run(ids: pa.Array) -> pa.Array:
+        tokens, pieces = shared.value
+        flat = pc.index_in(ids.flatten(), value_set=tokens)  # the row of the piece with this id, if there is one
+        there = np.r_[0, np.cumsum(pc.is_valid(flat).to_numpy(zero_copy_only=False))]
+        ends = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())]
+        found = pieces.take(flat.drop_null())
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(there[ends], pa.int32()), found, mask=pc.is_null(ids)), " ")
+
+    return docs.withColumn("decoded", run(docs[ids].cast("array<int>")))

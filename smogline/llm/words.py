@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import count
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from smogline.llm.batches import column, map_stream
 from smogline.session import cut
 
-RUN_BYTES = 16 << 20
+RUN_BYTES = 32 << 20
+SLICE = 1 << 16
 CODED = "run long, space string, word binary, code int, n long, ids array<long>, sizes array<int>, codes binary"
 
 
@@ -33,7 +34,7 @@ def unpack(packed: bytes, n: int) -> np.ndarray:
     return np.frombuffer(pa.decompress(packed, decompressed_size=4 * n, codec="zstd", asbytes=True) if n else b"", dtype="<i4")
 
 
-def run_numbers() -> Iterator[int]:
+def _run_numbers() -> Iterator[int]:
     """Numbers that no other task gives; they hold once the task's rows are written."""
     task = TaskContext.get()
     return count((task.partitionId() if task else 0) << 32)
@@ -49,7 +50,7 @@ def coded(rows: DataFrame, split: Callable[[bytes], list[bytes]], run_bytes: int
     """
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        numbers, held = run_numbers(), 0
+        numbers, held = _run_numbers(), 0
         words: dict[str | None, defaultdict[bytes, int]] = {}
         ids, parts, next_code = [], [], count()
 
@@ -57,9 +58,11 @@ def coded(rows: DataFrame, split: Callable[[bytes], list[bytes]], run_bytes: int
             run, codes = next(numbers), np.concatenate(parts)
             times = np.bincount(codes)
             for space, own in words.items():
-                known = np.fromiter(own.values(), dtype=np.int64, count=len(own))
-                yield {"run": [run] * len(own), "space": [space] * len(own), "word": list(own), "code": known, "n": times[known],
-                       **dict.fromkeys(("ids", "sizes", "codes"), [None] * len(own))}
+                entries = iter(own.items())
+                while some := list(islice(entries, SLICE)):
+                    known = np.array([c for _, c in some])
+                    yield {"run": [run] * len(some), "space": [space] * len(some), "word": [w for w, _ in some], "code": known,
+                           "n": times[known], **dict.fromkeys(("ids", "sizes", "codes"), [None] * len(some))}
             yield {"run": [run], "ids": [ids], "sizes": [[len(p) for p in parts]], "codes": [pack(codes)],
                    **dict.fromkeys(("space", "word", "code", "n"), [None])}
 

@@ -32,7 +32,7 @@ def plain(tokenizer, text):
 @pytest.mark.parametrize("run_bytes", [50, bpe.RUN_BYTES])
 def test_as_the_tokenizer_does(spark, codec, tokenizer, run_bytes):
     texts = [*AWKWARD, *HARD, *HARD[:3], None]
-    done = bpe.decode(bpe.encode(docs(spark, texts), codec, run_bytes=run_bytes), codec, run_bytes=run_bytes)
+    done = bpe.decode(bpe.encode(docs(spark, texts), codec, run_bytes=run_bytes), codec)
     got = {r["doc_id"]: (list(r["ids"]), r["decoded"]) for r in done.collect()}
     assert len(got) == len(texts)
     for i, text in enumerate(texts):
