@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -86,30 +87,31 @@ class Codec:
             raise ValueError("the pieces of this vocabulary are not joined by spaces")
         self.shared = spark.sparkContext.broadcast(text)
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.width = "H" if max(vocabulary.values()) < 1 << 16 else "I"
         self.pieces = spark.sparkContext.broadcast((pa.array(vocabulary.values(), pa.int32()), pa.array(vocabulary.keys(), pa.string())))
 
 
 def encode_words(words: DataFrame, codec: Codec) -> DataFrame:
-    """``words`` (run, word, code) with the ids of every word in place of it.
+    """``words`` (run, word, code) with the ids of every word in place of it, as bytes.
 
     Equal words of all runs come together, sorted, so each different word is encoded once.
     """
-    shared = codec.shared
+    shared, width = codec.shared, codec.width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        tokenizer, last, own = _tokenizer(shared)[0], None, []
+        tokenizer, last, own = _tokenizer(shared)[0], None, b""
         for batch in batches:
             found, lists = column(batch, "word"), []
             new = [w for w, before in zip(found, [last, *found]) if w != before]
             encoded = iter(tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False))
             for word in found:
                 if word != last:
-                    last, own = word, next(encoded).ids
+                    last, own = word, array(width, next(encoded).ids).tobytes()
                 lists.append(own)
             yield {"run": batch.column("run"), "code": batch.column("code"), "ids": lists}
 
     together = words.select("run", "word", "code").repartition("word").sortWithinPartitions("word")
-    return map_stream(together, run, "run long, code int, ids array<int>")
+    return map_stream(together, run, "run long, code int, ids binary")
 
 
 def encode(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "text", run_bytes: int = RUN_BYTES) -> DataFrame:
@@ -123,7 +125,7 @@ def encode(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "t
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.lit(None).cast("string").alias("space"),
                        F.col(text).cast("binary").alias("text"))
-    shared = codec.shared
+    shared, width = codec.shared, codec.width
     words, texts = coded(rows, lambda text: _tokenizer(shared)[1](text), run_bytes)
     known = encode_words(words, codec)
 
@@ -131,8 +133,10 @@ def encode(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "t
         ids, sizes, codes = texts_of(texts)
         place = np.empty(words.num_rows, dtype=np.int64)
         place[words.column("code").to_numpy()] = np.arange(words.num_rows)
-        lists = words.column("ids").combine_chunks()
-        taken = lists.take(pa.array(place[codes]))
+        own = words.column("ids").combine_chunks()
+        values = np.frombuffer(b"".join(own.to_pylist()), dtype=width)
+        starts = np.r_[0, np.cumsum(pc.binary_length(own).to_numpy()) // values.itemsize]
+        taken = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values)).take(pa.array(place[codes]))
         ends = np.r_[0, np.cumsum(pc.list_value_length(taken).to_numpy())][np.r_[0, np.cumsum(sizes)]]
         return pa.table({"doc_id": pa.array(ids, pa.int64()),
                          "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), taken.flatten().cast(pa.int32()))})

@@ -26,12 +26,16 @@ CODED = "run long, space string, word binary, code int, n long, ids array<long>,
 
 
 def pack(codes: np.ndarray) -> bytes:
-    """Whole numbers below 2**31, compressed."""
-    return pa.compress(np.ascontiguousarray(codes, dtype="<i4").tobytes(), codec="zstd", asbytes=True)
+    """Whole numbers from 0 to below 2**31, byte by byte of all numbers, compressed; small numbers take little."""
+    planes = np.ascontiguousarray(codes, dtype="<i4").view(np.uint8).reshape(-1, 4).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
 def unpack(packed: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(packed, decompressed_size=4 * n, codec="zstd", asbytes=True) if n else b"", dtype="<i4")
+    if not n:
+        return np.zeros(0, dtype="<i4")
+    planes = np.frombuffer(pa.decompress(packed, decompressed_size=4 * n, codec="zstd", asbytes=True), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<i4").ravel()
 
 
 def _run_numbers() -> Iterator[int]:
@@ -57,13 +61,15 @@ def coded(rows: DataFrame, split: Callable[[bytes], list[bytes]], run_bytes: int
         def emit() -> Iterator[dict]:
             run, codes = next(numbers), np.concatenate(parts)
             times = np.bincount(codes)
+            rank = np.empty(len(times), dtype=np.int32)  # frequent words have small codes
+            rank[np.argsort(-times, kind="stable")] = np.arange(len(times))
             for space, own in words.items():
                 entries = iter(own.items())
                 while some := list(islice(entries, SLICE)):
                     known = np.array([c for _, c in some])
-                    yield {"run": [run] * len(some), "space": [space] * len(some), "word": [w for w, _ in some], "code": known,
+                    yield {"run": [run] * len(some), "space": [space] * len(some), "word": [w for w, _ in some], "code": rank[known],
                            "n": times[known], **dict.fromkeys(("ids", "sizes", "codes"), [None] * len(some))}
-            yield {"run": [run], "ids": [ids], "sizes": [[len(p) for p in parts]], "codes": [pack(codes)],
+            yield {"run": [run], "ids": [ids], "sizes": [[len(p) for p in parts]], "codes": [pack(rank[codes])],
                    **dict.fromkeys(("space", "word", "code", "n"), [None])}
 
         for batch in batches:
