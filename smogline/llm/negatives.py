@@ -92,7 +92,7 @@ def scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
 
 def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` highest scores, ties by smaller id."""
-    return np.lexsort((ids, -score.astype(np.float64) if False else ~score))[:k]
+    return np.lexsort((ids, ~score))[:k]
 
 
 def prepare(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: Column | str = "label") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.llm import bpe, embeddings, exact, langid, lines, mixing, pieces, pii, quality, simhash, warc
+from smogline.llm import bpe, embeddings, exact, langid, lines, mixing, negatives, phrases, pieces, pii, quality, simhash, warc
 from smogline.session import scratch_path
 
 
@@ -79,6 +79,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language."""
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, labels mixed up where the id is divisible by 7."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), label=label)
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts as token ids, and the ids as text again."""
     codec = bpe.Codec(spark)
@@ -99,6 +110,8 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_embeddings": op9_embeddings,
     "op10_quality": op10_quality,
+    "op11_phrases": op11_phrases,
+    "op12_negatives": op12_negatives,
     "op13_bpe": op13_bpe,
 }
 
@@ -178,4 +191,56 @@ SQL = {
         )
         SELECT e.vec_id, (SELECT count(*) FROM p WHERE p.x = e.vec_id) AS n_links, component_id, e.vec_id = component_id AS kept
         FROM e JOIN c USING (vec_id)""",
+    "op11_phrases": r"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+        ), s AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
+        ), g AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i : i + k - 1])) AS words
+            FROM s, range(1, 5) AS sizes(k)
+        ), f AS (
+            SELECT lang, k, words, count(*) AS f FROM g GROUP BY ALL
+        ), n AS (
+            SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+        ), c AS (
+            SELECT * FROM f WHERE k > 1 AND f >= 30
+        ), cuts AS (
+            SELECT c.lang, c.words, c.k, c.f AS a, h.f AS l, t.f AS r, h.k AS first_words,
+                   CAST(CAST(2000000 AS HUGEINT) * c.f // (h.f + t.f) AS BIGINT) AS score
+            FROM c JOIN f h ON h.lang = c.lang AND h.k < c.k AND h.words = c.words[1 : h.k]
+                   JOIN f t ON t.lang = c.lang AND t.k = c.k - h.k AND t.words = c.words[h.k + 1 : c.k]
+        ), best AS (
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, first_words) = 1
+        ), inner_ AS (
+            SELECT lang, k, f, unnest([words[1 : k - 1], words[2 : k]]) AS words FROM c WHERE k > 2
+            UNION ALL
+            SELECT lang, k, f, unnest([words[1 : 2], words[2 : 3], words[3 : 4]]) FROM c WHERE k = 4
+        ), most AS (
+            SELECT lang, words, max(f) AS f FROM inner_ GROUP BY ALL
+        ), kept AS (
+            SELECT best.lang, array_to_string(best.words, ' ') AS phrase, a, l, r, score FROM best LEFT JOIN most USING (lang, words)
+            WHERE most.f IS NULL OR 100 * most.f < 80 * a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM kept JOIN n USING (lang) QUALIFY rank <= 2000""",
+    "op12_negatives": """
+        WITH e AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                   CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+            FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+        ), p AS (
+            SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+        )
+        SELECT p.anchor_id, p.other AS positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) AS INTEGER) AS rank,
+               n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+        WHERE 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score QUALIFY rank <= 5""",
 }
