@@ -206,13 +206,14 @@ SQL = {
             SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
         ), c AS (
             SELECT * FROM f WHERE k > 1 AND f >= 30
+        ), parts AS (
+            SELECT *, words[1 : m] AS head, words[m + 1 : k] AS rest FROM (SELECT *, unnest(range(1, k)) AS m FROM c)
         ), cuts AS (
-            SELECT c.lang, c.words, c.k, c.f AS a, h.f AS l, t.f AS r, h.k AS first_words,
-                   CAST(CAST(2000000 AS HUGEINT) * c.f // (h.f + t.f) AS BIGINT) AS score
-            FROM c JOIN f h ON h.lang = c.lang AND h.k < c.k AND h.words = c.words[1 : h.k]
-                   JOIN f t ON t.lang = c.lang AND t.k = c.k - h.k AND t.words = c.words[h.k + 1 : c.k]
+            SELECT parts.lang, parts.words, parts.f AS a, h.f AS l, t.f AS r, m,
+                   CAST(CAST(2000000 AS HUGEINT) * parts.f // (h.f + t.f) AS BIGINT) AS score
+            FROM parts JOIN f h ON h.lang = parts.lang AND h.words = head JOIN f t ON t.lang = parts.lang AND t.words = rest
         ), best AS (
-            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, first_words) = 1
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, m) = 1
         ), inner_ AS (
             SELECT lang, k, f, unnest([words[1 : k - 1], words[2 : k]]) AS words FROM c WHERE k > 2
             UNION ALL
