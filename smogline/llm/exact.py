@@ -32,12 +32,46 @@ class _Node:
         self.label, self.children, self.owner, self.count = label, {}, None, 0
 
 
+class _Part:
+    """Strings written to a file, and the prefix that all of them share."""
+
+    def __init__(self, base: bytes):
+        self.base, self.file = base, tempfile.TemporaryFile()
+
+    def write(self, item: tuple[bytes, int | None, int]) -> None:
+        self.base = self.base[:_common(self.base, item[0])]
+        pickle.dump(item, self.file)
+
+    def read(self) -> Iterator[tuple[bytes, int | None, int]]:
+        self.file.seek(0)
+        try:
+            while True:
+                yield pickle.load(self.file)
+        except EOFError:
+            self.file.close()
+
+
+def _common(a: bytes, b: bytes) -> int:
+    """How many bytes two strings share at their start."""
+    if b.startswith(a):
+        return len(a)
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
 class Patricia:
     """A compressed radix trie; the node where a string ends holds its owner and its count.
 
     Beyond ``limit`` bytes the largest subtree below the root is written to a nameless local
     file, and strings that belong to it follow; :meth:`items` works such subtrees off one at
-    a time in tries of their own. The file lives as long as the task that made it.
+    a time in tries of their own. Those begin at the whole prefix that their strings share, so each
+    splits its strings or ends one, however long the prefix. The file lives as long as the task that made it.
     """
 
     def __init__(self, limit: int = TRIE_BYTES, base: bytes = b""):
@@ -47,7 +81,7 @@ class Patricia:
         """Insert a string that starts with ``base``; the smaller owner stays, None counts as larger than any."""
         at, node = len(self.base), self.root
         if at < len(key) and key[at] in self.spilled:
-            pickle.dump((key, owner, count), self.spilled[key[at]])
+            self.spilled[key[at]].write((key, owner, count))
             return
         while at < len(key):
             child = node.children.get(key[at])
@@ -98,26 +132,25 @@ class Patricia:
             return
         sizes = {first: self._size(child) for first, child in self.root.children.items()}
         first = max(sizes, key=sizes.get)
-        file = self.spilled[first] = tempfile.TemporaryFile()
-        for item in self._walk(self.root.children.pop(first), self.base):
-            pickle.dump(item, file)
+        child = self.root.children.pop(first)
+        part = self.spilled[first] = _Part(self.base + child.label)
+        for item in self._walk(child, self.base):
+            part.write(item)
         self.held -= sizes[first]
 
     def items(self) -> Iterator[tuple[bytes, int | None, int]]:
         """Every different string once with its owner and count; empties the trie."""
-        yield from self._walk(self.root, self.base)
-        self.root, spilled, self.spilled = _Node(b""), self.spilled, {}
-        while spilled:
-            first, file = spilled.popitem()
-            part = Patricia(self.limit, self.base + bytes([first]))
-            file.seek(0)
-            while True:
-                try:
-                    part.add(*pickle.load(file))
-                except EOFError:
-                    break
-            file.close()
-            yield from part.items()
+        trie, left = self, []
+        while True:
+            yield from trie._walk(trie.root, trie.base)
+            left += trie.spilled.values()
+            trie.root, trie.spilled = _Node(b""), {}
+            if not left:
+                return
+            part = left.pop()
+            trie = Patricia(self.limit, part.base)
+            for item in part.read():
+                trie.add(*item)
 
 
 def text_keys(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

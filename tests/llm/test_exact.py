@@ -41,6 +41,17 @@ def test_long_common_prefixes():
     assert {k: n for k, _, n in trie.items()} == {k: 2 for k in keys}
 
 
+def test_long_strings_beyond_the_limit():
+    header = b"h" * 3000
+    for limit, keys in ((1000, [b"x" * 5000]), (1000, [b"x" * 5000, b"x" * 4999 + b"y", b"x" * 4999]),
+                        (100_000, [header + str(i).encode() * 3 for i in range(400)]), (500, [b"n" * i for i in range(300)])):
+        trie = exact.Patricia(limit)
+        for i, k in enumerate(keys * 2):
+            trie.add(k, i)
+        found = list(trie.items())
+        assert len(found) == len(keys) and {k: (o, n) for k, o, n in found} == {k: (i, 2) for i, k in enumerate(keys)}
+
+
 def test_dedup_as_brute_force(spark):
     rng = random.Random(3)
     texts = AWKWARD + [rng.choice(["Same", "same", "SAME ", "a" * 100, "ÉA", "éa"]) for _ in range(200)]
