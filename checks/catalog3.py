@@ -10,12 +10,13 @@ from pyspark.sql import types as T
 
 from checks import tables as t
 from checks.catalog import (
-    _CHAIN, _EXACT_VIEWS, _FILL, _GAPS, _IMPUTE_SQL, _PREPARED_SQL, _PREPARED_VIEWS, _RATE, KEYS, PLACES, _chunk_filled, _chunks_sql,
-    _filled, _imputed, _prepared, add, rounded,
+    _CHAIN, _EXACT_VIEWS, _FILL, _GAPS, _IMPUTE_SQL, _PREPARED_SQL, _PREPARED_VIEWS, _RATE, KEYS, PLACES, QUERIES, SQL, _chunk_filled,
+    _chunks_sql, _filled, _imputed, _prepared, add, rounded,
 )
 from checks.catalog2 import _DS, _LOC, _inside_sql
 from checks.tables import sql_hour_label
 from smogline.functions.times import parse_time, run_window
+from smogline.functions.values import nan_to_null
 from smogline.operators import dataset, quality, rollup, series
 from smogline.plans import locations, metric_run, store
 from smogline.schema import SENSOR, MetricSpec
@@ -98,6 +99,47 @@ add("p4_filter_ranges_nan", lambda s, d: quality.filter_ranges(_with_nan(s, d),
     "SELECT event_id FROM ev WHERE event_id % 5 = 0 OR event_id % 7 = 0 OR value BETWEEN 20 AND 60")
 
 
+def _nan_grid(s, d, flat: bool = False) -> DataFrame:
+    """The grid with every other missing value as NaN: results are those of nulls."""
+    return t.grid(s, d, flat=flat).withColumn("value", F.coalesce("value", F.when(F.hour("time") % 2 == 0, float("nan"))))
+
+
+def _nan_pivot(s, d) -> DataFrame:
+    spoilt = _nan_grid(s, d).select(F.lit("hour").alias("type"), F.date_format("time", "yyyy-MM-dd HH").alias("date"), "datasourceId",
+                                    F.lit("b").alias("sourceId"), F.col("value").alias("metric"))
+    other = t.grid(s, d).select(F.lit("hour").alias("type"), F.date_format("time", "yyyy-MM-dd HH").alias("date"), "datasourceId",
+                                F.lit("a").alias("sourceId"), F.lit(1.0).alias("metric"))
+    return rounded(dataset.sensor_cells(spoilt.unionByName(other)), "value")
+
+
+def _spoilt(name: str, fn) -> None:
+    """A query whose results are those of ``name``."""
+    QUERIES[f"{name}_nan"], SQL[f"{name}_nan"] = fn, SQL[name]
+
+
+_spoilt("a9_missing_rate", lambda s, d: rounded(quality.missing_rate(_nan_grid(s, d), "value"), "missing_rate"))
+_spoilt("p11_drop_missing",
+    lambda s, d: rounded(quality.drop_missing(_nan_grid(s, d), "value").select("datasourceId", F.date_format("time", "yyyy-MM-dd HH").alias("at"),
+                                                                               "value", "impute_flag"), "value"))
+_spoilt("p5_drop_flatline",
+    lambda s, d: rounded(series.drop_flatline(_nan_grid(s, d, flat=True), "time", "value").select(
+        "datasourceId", F.date_format("time", "yyyy-MM-dd HH").alias("at"), nan_to_null("value").alias("value")), "value"))
+_spoilt("w1_rolling_sd",
+    lambda s, d: series.rolling_sd(series.place_rows(_nan_grid(s, d, flat=True), "time"), "value").df.select(
+        "datasourceId", F.date_format("time", "yyyy-MM-dd HH").alias("at"), F.round("rolling_sd", 5).alias("sd")))
+_spoilt("w2_fill_single_gaps", lambda s, d: _filled(s, d, "exact", _nan_grid))
+_spoilt("w2_fill_single_gaps_window", lambda s, d: _filled(s, d, "window", _nan_grid))
+_spoilt("w3_null_runs",
+    lambda s, d: rounded(series.null_runs(series.place_rows(_nan_grid(s, d), "time"), "value"), "edge_before", "edge_after")
+    .select("datasourceId", "start", "stop", "length", "edge_before", "edge_after"))
+_spoilt("w4_fill_gap_chunks", lambda s, d: _chunk_filled(s, d, _nan_grid))
+_spoilt("x1_qa_qc_impute", lambda s, d: _imputed(s, d, _nan_grid))
+add("a11_sensor_cells_nan", _nan_pivot,
+    f"""SELECT 'hour' AS type, strftime(time, '%Y-%m-%d %H') AS date, "datasourceId", round(max(coalesce(value, 1)) + 1e-9, {PLACES}) AS value
+        FROM gr GROUP BY ALL""")
+
+
+
 def _self_merged(s, d) -> DataFrame:
     table = t.table(s, d, "customer").select(
         F.col("c_custkey").alias("datasourceId"), F.when(F.col("c_custkey") % 3 > 0, F.col("c_nationkey")).alias("sourceId"),

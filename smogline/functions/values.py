@@ -15,6 +15,11 @@ def nan_to_null(c) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def present(name: str) -> Column:
+    """A column by its name, which may hold dots, with NaN as null."""
+    return nan_to_null(quoted(name))
+
+
 def calibrate_pm25(raw, humidity) -> Column:
     """Fine-dust reading corrected for relative humidity, by concentration range.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from smogline.functions.labels import type_rank
-from smogline.functions.values import quoted
+from smogline.functions.values import present, quoted
 from smogline.operators.quality import filter_time
 from smogline.schema import CELL, SENSOR, TYPE_ORDER
 
@@ -31,7 +31,7 @@ def first_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Data
 def sensor_cells(periods: DataFrame, metric: str = "metric") -> DataFrame:
     """One value per (type, date, datasource): of several sources the greatest id wins,
     sources without a value never do. Cells without any value are absent."""
-    value = quoted(metric)
+    value = present(metric)
     # A missing source id sorts last, after every other.
     rank = F.coalesce("sourceId", F.lit("￿"))
     return (periods.filter(value.isNotNull()).groupBy(*CELL)
@@ -57,18 +57,18 @@ def unpivot_sensors(matrix: DataFrame) -> DataFrame:
     """Back from the matrix to cells; empty cells are dropped."""
     sensors = [c for c in matrix.columns if c not in ("type", "date")]
     return matrix.unpivot(["type", "date"], [quoted(c) for c in sensors], "datasourceId", "value").filter(
-        F.col("value").isNotNull())
+        present("value").isNotNull())
 
 
 def upsert_measurements(existing: DataFrame, new: DataFrame, keys=CELL) -> DataFrame:
-    """New values win, old ones stay where the new side has none; rows and sensors unite.
+    """New values win, old ones stay where the new side has none (null or NaN); rows and sensors unite.
 
     Both sides hold one row per cell, as ``sensor_cells`` gives them. Grouping the union
     takes one shuffle with map-side combining where an outer join would take two.
     """
     columns = [*keys, "value"]
     both = (existing.select(*columns, F.lit(False).alias("_new"))
-            .unionByName(new.select(*columns, F.lit(True).alias("_new"))))
+            .unionByName(new.select(*columns, F.lit(True).alias("_new")))).withColumn("value", present("value"))
     return both.groupBy(*keys).agg(F.coalesce(
         F.max(F.when(F.col("_new"), F.col("value"))),
         F.max(F.when(~F.col("_new"), F.col("value")))).alias("value"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smogline.functions.geo import sensor_key
-from smogline.functions.values import quoted, rel_diff
+from smogline.functions.values import present, quoted, rel_diff
 from smogline.operators.joins import lookup_join, null_safe_join
 from smogline.operators.quality import drop_missing, missing_rate
 from smogline.operators.series import SEGMENT_ROWS, Series, null_pieces, null_rows, place_rows, stitch_pieces
@@ -143,7 +143,7 @@ def fill_single_gaps(series: Series, col: str, threshold: float = THRESHOLD, mod
         raise ValueError(f"unknown mode {mode!r}")
     keys, columns = series.keys, series.df.columns
     framed, window = series.framed(REACH + 1)
-    value = quoted(col)
+    value = present(col)
     gaps = _gap_table(framed, window, value, threshold).filter("_core").drop("_core")
 
     def done(df: DataFrame, filled: Column) -> DataFrame:
@@ -178,7 +178,7 @@ def neighbor_means(rows: DataFrame, neighbors: DataFrame, values: DataFrame, ts:
     lists = neighbor_lists(neighbors).withColumnRenamed("key1", "key")
     wanted = (lookup_join(rows.select("key", quoted(ts).alias("_at"), *row_id), lists, ["key"], "inner")
               .select(*row_id, "_at", F.explode("neighbors").alias("_other")))
-    sums = (values.filter(quoted(col).isNotNull())
+    sums = (values.filter(present(col).isNotNull())
             .select(F.col("key").alias("_other"), quoted(ts).alias("_at"), quoted(col))
             .join(wanted.select("_other", "_at").distinct(), ["_other", "_at"], "left_semi")
             .groupBy("_other", "_at")
@@ -194,6 +194,7 @@ def fill_gap_chunks(series: Series, neighbors: DataFrame, col: str, threshold: f
     mean of the neighbour means; rows without a neighbour value stay missing.
     """
     keys, columns, ts = list(series.keys), series.df.columns, series.ts
+    series = series.with_df(series.df.withColumn(col, present(col)))
     value = quoted(col)
     framed, window = series.framed(1)
     beside_null = (F.coalesce(F.lag(value.isNull()).over(window), F.lit(False))
@@ -229,11 +230,12 @@ def fill_gap_chunks(series: Series, neighbors: DataFrame, col: str, threshold: f
 def qa_qc_impute(df: DataFrame, ts: str, col: str, k: int = 3, threshold: float = THRESHOLD,
                  keys=SENSOR, tie=(), lat: str = "locationLatitude", lon: str = "locationLongitude",
                  segment_rows: int = SEGMENT_ROWS, longest: int | None = None) -> DataFrame:
-    """Treat missing readings according to their overall share and say so in ``impute_flag``.
+    """Treat missing readings (null or NaN) according to their overall share and say so in ``impute_flag``.
 
     Below 5 % they are dropped, from 20 % they are left, in between lone gaps and then
     longer runs are filled. ``longest`` is an upper bound of any sensor's rows, if known.
     """
+    df = df.withColumn(col, present(col))
     if longest is None:  # one pass for the share and the longest series
         shape = (df.groupBy(*keys).agg(F.count("*").alias("n"), F.count(quoted(col)).alias("known"))
                  .agg(F.max("n").alias("longest"), F.sum("n").alias("n"), F.sum("known").alias("known")).first())

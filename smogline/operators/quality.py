@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smogline.functions.times import parse_time
-from smogline.functions.values import nan_to_null, qc_column_for, quoted
+from smogline.functions.values import nan_to_null, present, qc_column_for, quoted
 from smogline.schema import SENSOR, MetricSpec
 
 # Suffixes that mark a column as part of a metric.
@@ -98,11 +98,11 @@ def keep_valid(df: DataFrame) -> DataFrame:
 
 
 def drop_missing(df: DataFrame, col: str) -> DataFrame:
-    return df.filter(quoted(col).isNotNull()).withColumn("impute_flag", F.lit("drop_na_lt5"))
+    return df.filter(present(col).isNotNull()).withColumn("impute_flag", F.lit("drop_na_lt5"))
 
 
 def missing_rate(df: DataFrame, col: str) -> DataFrame:
-    return df.agg(F.avg(quoted(col).isNull().cast("double")).alias("missing_rate"))
+    return df.agg(F.avg(present(col).isNull().cast("double")).alias("missing_rate"))
 
 
 def flag_counts(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from smogline.functions.values import quoted
+from smogline.functions.values import present, quoted
 from smogline.operators.joins import content_hash, null_safe_join
 from smogline.schema import SENSOR
 
@@ -111,9 +111,9 @@ def place_rows(df: DataFrame, ts: str, keys=SENSOR, tie=(), segment_rows: int =
 
 
 def rolling_sd(series: Series, col: str, before: int = 5, after: int = 5, name: str = "rolling_sd") -> Series:
-    """Sample deviation over the rows around, nulls ignored; null with fewer than two values."""
+    """Sample deviation over the rows around, nulls and NaN ignored; null with fewer than two values."""
     framed, window = series.framed(max(before, after))
-    out = framed.withColumn(name, F.stddev_samp(quoted(col)).over(window.rowsBetween(-before, after)))
+    out = framed.withColumn(name, F.stddev_samp(present(col)).over(window.rowsBetween(-before, after)))
     return series.with_df(out.filter("_core").drop("_core"))
 
 
@@ -122,12 +122,12 @@ def drop_flatline(df: DataFrame, ts: str, col: str, before: int = 5, after: int
     """Drop rows whose surrounding values have no spread at all.
 
     Zero deviation is the same as two or more values with equal minimum and maximum,
-    a test that rounding cannot disturb.
+    a test that rounding cannot disturb. NaN is no value.
     """
     series = place_rows(df, ts, keys, tie, segment_rows, longest=longest)
     framed, window = series.framed(max(before, after))
     around = window.rowsBetween(-before, after)
-    value = quoted(col)
+    value = present(col)
     flat = ((F.count(value).over(around) >= 2)
             & (F.min(value).over(around) == F.max(value).over(around)))
     out = framed.withColumn("_flat", F.coalesce(flat, F.lit(False)))
@@ -135,10 +135,10 @@ def drop_flatline(df: DataFrame, ts: str, col: str, before: int = 5, after: int
 
 
 def null_rows(series: Series, col: str, beside_null: bool = False) -> DataFrame:
-    """Missing rows with the values next to them and ``_piece``, which is equal for the
+    """Missing (null or NaN) rows with the values next to them and ``_piece``, which is equal for the
     nulls that follow one another in a segment. ``beside_null`` leaves out lone ones."""
     framed, window = series.framed(1)
-    value = quoted(col)
+    value = present(col)
     missing = F.col("_core") & value.isNull()
     rows = (framed.withColumn("_before", F.lag(value).over(window))
             .withColumn("_after", F.lead(value).over(window)))
