@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -16,11 +18,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from smogline.llm.batches import column, map_stream
-from smogline.llm.words import RUN_BYTES, coded, texts_of
+from smogline.llm.words import RUN_BYTES, coded, pack, texts_of, unpack
 
 MODEL = "/opt/tokenizers/word_bpe_49k.json"
 #: A mark after a Latin letter begins a word of its own; no composed character begins with one of these marks.
 MARK = re.compile(rb"(?<=[A-Za-z])[.,;:!?]")
+#: A bucket holds about so many words of runs; so many bytes of a run's words are put into buckets at once.
+BUCKET_WORDS = 1 << 16
+LEAST_BUCKETS = 8
+HELD_BYTES = 64 << 20
 _WORKER: dict = {}
 
 
@@ -91,27 +97,61 @@ class Codec:
         self.pieces = spark.sparkContext.broadcast((pa.array(vocabulary.values(), pa.int32()), pa.array(vocabulary.keys(), pa.string())))
 
 
+def _buckets(words: DataFrame, buckets: int) -> DataFrame:
+    """``words`` (run, word, code) as a row per run and bucket: its words in order, one a line, and their codes.
+
+    A word's bucket follows from its bytes, so equal words of all runs have the same one.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        found: dict[int, list[tuple[bytes, int]]] = defaultdict(list)
+        last, held = None, 0
+
+        def emit() -> Iterator[dict]:
+            for bucket, own in found.items():
+                own.sort()
+                lines = b"\n".join(w for w, _ in own)
+                yield {"bucket": [bucket], "run": [last], "n": [len(own)], "size": [len(lines)],
+                       "words": [pa.compress(lines, codec="zstd", asbytes=True)], "codes": [pack(np.array([c for _, c in own]))]}
+            found.clear()
+
+        for batch in batches:
+            for number, word, code in zip(column(batch, "run"), column(batch, "word"), column(batch, "code")):
+                if number != last or held > HELD_BYTES:
+                    yield from emit()
+                    last, held = number, 0
+                found[crc32(word) % buckets].append((word, code))
+                held += len(word)
+        yield from emit()
+
+    return map_stream(words.select("run", "word", "code"), run, "bucket int, run long, n int, size long, words binary, codes binary")
+
+
 def encode_words(words: DataFrame, codec: Codec) -> DataFrame:
-    """``words`` (run, word, code) with the ids of every word in place of it, as bytes.
+    """The ids of ``words`` (run, word, code): rows of a run with n codes, how many ids each has, and all ids, packed.
 
-    Equal words of all runs come together, sorted, so each different word is encoded once.
+    Equal words of all runs come together in one of the buckets, whose number grows with the
+    words, so each different word is encoded once and a bucket's table of words is small.
     """
     shared, width = codec.shared, codec.width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        tokenizer, last, own = _tokenizer(shared)[0], None, b""
+        tokenizer, last, known = _tokenizer(shared)[0], None, {}
         for batch in batches:
-            found, lists = column(batch, "word"), []
-            new = [w for w, before in zip(found, [last, *found]) if w != before]
-            encoded = iter(tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False))
-            for word in found:
-                if word != last:
-                    last, own = word, array(width, next(encoded).ids).tobytes()
-                lists.append(own)
-            yield {"run": batch.column("run"), "code": batch.column("code"), "ids": lists}
-
-    together = words.select("run", "word", "code").repartition("word").sortWithinPartitions("word")
-    return map_stream(together, run, "run long, code int, ids binary")
+            for row in batch.to_pylist():
+                if row["bucket"] != last:
+                    last, known = row["bucket"], {}
+                own = pa.decompress(row["words"], decompressed_size=row["size"], codec="zstd", asbytes=True).split(b"\n")
+                new = [w for w in own if w not in known]
+                encoded = tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
+                known.update((w, array(width, e.ids)) for w, e in zip(new, encoded))
+                sizes = np.fromiter((len(known[w]) for w in own), dtype=np.int32, count=len(own))
+                ids = np.frombuffer(b"".join(known[w].tobytes() for w in own), dtype=width)
+                yield {"run": [row["run"]], "n": [row["n"]], "codes": [row["codes"]], "sizes": [pack(sizes)], "n_ids": [len(ids)],
+                       "ids": [pack(ids)]}
+
+    buckets = max(LEAST_BUCKETS, words.count() // BUCKET_WORDS)
+    together = _buckets(words, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    return map_stream(together, run, "run long, n int, codes binary, sizes binary, n_ids long, ids binary")
 
 
 def encode(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "text", run_bytes: int = RUN_BYTES) -> DataFrame:
@@ -125,21 +165,22 @@ def encode(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "t
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.lit(None).cast("string").alias("space"),
                        F.col(text).cast("binary").alias("text"))
-    shared, width = codec.shared, codec.width
+    shared = codec.shared
     words, texts = coded(rows, lambda text: _tokenizer(shared)[1](text), run_bytes)
     known = encode_words(words, codec)
 
     def put_back(texts: pa.Table, words: pa.Table) -> pa.Table:
         ids, sizes, codes = texts_of(texts)
-        place = np.empty(words.num_rows, dtype=np.int64)
-        place[words.column("code").to_numpy()] = np.arange(words.num_rows)
-        own = words.column("ids").combine_chunks()
-        values = np.frombuffer(b"".join(own.to_pylist()), dtype=width)
-        starts = np.r_[0, np.cumsum(pc.binary_length(own).to_numpy()) // values.itemsize]
+        parts = words.to_pylist()
+        place = np.empty(sum(p["n"] for p in parts), dtype=np.int64)
+        if parts:
+            place[np.concatenate([unpack(p["codes"], p["n"]) for p in parts])] = np.arange(len(place))
+        values = np.concatenate([np.zeros(0, dtype=np.int32), *[unpack(p["ids"], p["n_ids"]) for p in parts]])
+        starts = np.r_[0, np.cumsum(np.concatenate([np.zeros(0, dtype=np.int32), *[unpack(p["sizes"], p["n"]) for p in parts]]))]
         taken = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values)).take(pa.array(place[codes]))
         ends = np.r_[0, np.cumsum(pc.list_value_length(taken).to_numpy())][np.r_[0, np.cumsum(sizes)]]
         return pa.table({"doc_id": pa.array(ids, pa.int64()),
-                         "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), taken.flatten().cast(pa.int32()))})
+                         "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), taken.flatten())})
 
     return texts.groupBy("run").cogroup(known.groupBy("run")).applyInArrow(put_back, "doc_id long, ids array<int>")
 
