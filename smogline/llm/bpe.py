@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from smogline.llm.batches import column, map_stream
-from smogline.llm.words import RUN_BYTES, coded, pack, texts_of, unpack
+from smogline.llm.words import coded, pack, texts_of, unpack
 
 MODEL = "/opt/tokenizers/word_bpe_49k.json"
 #: A mark after a Latin letter begins a word of its own; no composed character begins with one of these marks.
 MARK = re.compile(rb"(?<=[A-Za-z])[.,;:!?]")
+#: Ids take more memory than codes, so runs of texts are half as long as elsewhere.
+RUN_BYTES = 16 << 20
 #: A bucket holds about so many words of runs; so many bytes of a run's words are put into buckets at once.
 BUCKET_WORDS = 1 << 16
 LEAST_BUCKETS = 8
