@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,9 @@ from pyspark.sql import types as T
 from smogline.functions.values import nan_to_null, quoted
 from smogline.schema import LOCATION_ROW, LONG_RESPONSE, LONG_ROW
 
+#: So many files are opened at once to see their headers.
+HEADER_THREADS = 32
+
 
 def _is_artefact(name: str) -> bool:
     """Unnamed index columns left in CSV files by earlier tools."""
@@ -47,16 +51,43 @@ def read_measurements_wide(spark: SparkSession, paths, schema: T.StructType | No
                        *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """A file's first line, unpacked by its ending; None for what is not one file or whose first record has more lines."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop, spark.sparkContext._jsc.hadoopConfiguration()
+    where = hadoop.fs.Path(path)
+    files = where.getFileSystem(conf)
+    if not files.exists(where) or files.getFileStatus(where).isDirectory():
+        return None
+    codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(where)
+    stream = files.open(where)
+    try:
+        reader = spark.sparkContext._jvm.java.io.InputStreamReader(stream if codec is None else codec.createInputStream(stream), "UTF-8")
+        line = spark.sparkContext._jvm.java.io.BufferedReader(reader).readLine() or ""
+    finally:
+        stream.close()
+    return line if line.count('"') % 2 == 0 else None
+
+
+def by_header(spark: SparkSession, paths) -> list[list[str]]:
+    """The paths in groups of files with equal first lines.
+
+    The driver reads these lines alone, many files at a time; no job is started. What is not one
+    file is a group of its own.
+    """
+    paths, groups = list(paths), defaultdict(list)
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        for path, line in zip(paths, pool.map(lambda p: first_line(spark, p), paths)):
+            groups[(path if line is None else None, line)].append(path)
+    return list(groups.values())
+
+
 def read_report_parts(spark: SparkSession, paths, schema: T.StructType | None = None) -> DataFrame:
     """A report split over files (plain or gzip) whose headers may differ.
 
     Parts are matched by column name, duplicates stay. Files with equal headers
-    share one scan, so the plan grows with the number of distinct headers.
+    share one scan, so the plan and the number of jobs grow with the number of distinct headers.
     """
-    by_header = defaultdict(list)
-    for path in paths:
-        by_header[tuple(spark.read.option("header", True).csv(path).columns)].append(path)
-    parts = [read_measurements_wide(spark, group, schema) for group in by_header.values()]
+    parts = [read_measurements_wide(spark, group, schema) for group in by_header(spark, paths)]
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part, allowMissingColumns=True)
