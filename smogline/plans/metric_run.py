@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from smogline.plans.locations import update_locations
 from smogline.plans.store import merge_into_store, read_store, store_offsets
 from smogline.schema import CELL, DEFAULT_METRICS, METRICS, MIN_PARTS, SENSOR, SOURCE_CELL, MetricSpec
 from smogline.session import cut, scratch_scope
+from smogline.sources import versions
 from smogline.sources.sinks import write_type_offsets
 
 log = logging.getLogger(__name__)
@@ -63,9 +65,19 @@ def source_cells(periods: DataFrame, metric: str, types=("hour", "day")) -> Data
             .select(*SOURCE_CELL, quoted(metric).alias("value")))
 
 
-def sources_of(store: str) -> str:
-    """Where a store keeps the hours and days of single sources."""
-    return f"{store}.sources"
+@contextmanager
+def store_change(spark: SparkSession, store: str, mark: tuple[str, int] | None = None) -> Iterator[None]:
+    """One change of a store: single sources' hours and days, cells and their counts become current together.
+
+    The offset index file is made from the published counts, so it can only lag, until the next change or replay.
+    """
+    with versions.change(spark, store, mark):
+        yield
+    write_index(spark, store)
+
+
+def write_index(spark: SparkSession, store: str) -> None:
+    write_type_offsets(store_offsets(spark, store), f"{store}.index.json")
 
 
 def run_metric(spark: SparkSession, spec: MetricSpec, source: DataFrame, store: str, start=None, end=None,
@@ -86,12 +98,12 @@ def run_metric(spark: SparkSession, spec: MetricSpec, source: DataFrame, store:
         periods = cut(metric_periods(spec, source, start, end, groups))
         if count_rows:
             log.info("%s: %s", spec.name, {r["type"]: r["rows_valid"] for r in validity_summary(periods).collect()})
-        if refresh:
-            merge_hours(spark, cut(source_cells(periods, spec.name, ("hour",))), store)
-        else:
-            merge_into_store(spark, cut(source_cells(periods, spec.name)), sources_of(store), keys=SOURCE_CELL)
-            merge_into_store(spark, cut(sensor_cells(periods, spec.name)), store)
-            write_type_offsets(store_offsets(spark, store), f"{store}.index.json")
+        with store_change(spark, store):
+            if refresh:
+                merge_hours(spark, cut(source_cells(periods, spec.name, ("hour",))), store)
+            else:
+                merge_into_store(spark, cut(source_cells(periods, spec.name)), store, keys=SOURCE_CELL)
+                merge_into_store(spark, cut(sensor_cells(periods, spec.name)), store)
     return read_store(spark, store)
 
 
@@ -128,36 +140,36 @@ def touched_periods(hour_cells: DataFrame) -> DataFrame:
 
 def merge_hours(spark: SparkSession, hours: DataFrame, store: str, limits=None) -> None:
     """Merge hours of single sources (type, date, datasourceId, sourceId, value) and renew all they touch."""
-    merge_into_store(spark, hours, sources_of(store), keys=SOURCE_CELL)
-    refresh_periods(spark, store, hours, limits)
-    write_type_offsets(store_offsets(spark, store), f"{store}.index.json")
+    with versions.change(spark, store):
+        merge_into_store(spark, hours, store, keys=SOURCE_CELL)
+        refresh_periods(spark, store, hours, limits)
 
 
 def refresh_periods(spark: SparkSession, store: str, hour_cells: DataFrame, limits=None) -> None:
     """Recompute from stored hours every period that ``hour_cells`` touch.
 
-    Touched days come from the hours of their months. Longer periods come from the stored days
+    Touched days come from their own hours. Longer periods come from the stored days
     of the touched years and of the months that their first winter and last week or winter
-    reach into. Hours outside the touched months are not read.
+    reach into. Hours outside the touched days are not read.
     """
-    limits, sources = {**MIN_PARTS, **(limits or {})}, sources_of(store)
+    limits = {**MIN_PARTS, **(limits or {})}
     touched = cut(touched_periods(hour_cells))
     days_touched = touched.filter("type = 'day'")
-    months = {r["m"] for r in days_touched.select(F.substring("date", 1, 7).alias("m")).distinct().collect()}
+    dates = {r["date"] for r in days_touched.select("date").distinct().collect()}  # bounded by the calendar
 
-    def stored(period_type: str, months: set[str]) -> DataFrame:
-        cells = read_store(spark, sources, {(period_type, m) for m in months}, SOURCE_CELL)
+    def stored(period_type: str, buckets: set[str]) -> DataFrame:
+        cells = read_store(spark, store, {(period_type, b) for b in buckets}, SOURCE_CELL)
         of_touched = null_safe_join(cells, touched.select("datasourceId").distinct(), ["datasourceId"], "left_semi")
         return of_touched.select(*SENSOR, "date", F.col("value").alias("metric"), F.lit(True).alias("is_valid"))
 
-    hours = cut(null_safe_join(stored("hour", months).withColumn("_day", day_label(F.col("date").cast("timestamp"))),
+    hours = cut(null_safe_join(stored("hour", dates).withColumn("_day", day_label(F.col("date").cast("timestamp"))),
                                days_touched.select("datasourceId", F.col("date").alias("_day")), ["datasourceId", "_day"], "left_semi"))
     days = keep_valid(label_days(rollup_day(hours.select(*SENSOR, F.col("date").cast("timestamp").alias("hour"), "metric", "is_valid"),
                                             limits["day"])))
     days = cut(source_cells(days, "metric"))
-    merge_into_store(spark, days, sources, replace=days_touched, keys=SOURCE_CELL)
+    merge_into_store(spark, days, store, replace=days_touched, keys=SOURCE_CELL)
 
-    years = {int(m[:4]) for m in months}
+    years = {int(d[:4]) for d in dates}
     around = {f"{y:04d}-{m:02d}" for y in years for m in range(1, 13)}
     around |= {f"{y - 1:04d}-12" for y in years} | {f"{y + 1:04d}-{m:02d}" for y in years for m in (1, 2)}
     all_days = stored("day", around).select(*SENSOR, F.col("date").cast("timestamp").alias("day"), "metric", "is_valid")

@@ -22,14 +22,20 @@ STORED = stored_schema()
 
 
 def with_bucket(cells: DataFrame) -> DataFrame:
-    """Month of hours and days, year of everything longer: the unit an upsert rewrites."""
-    fine = F.col("type").isin("hour", "day")
-    return cells.withColumn("bucket", F.when(fine, F.substring("date", 1, 7)).otherwise(F.substring("date", 1, 4)))
+    """Day of hours, month of days, year of everything longer: the unit an upsert rewrites."""
+    date, kind = F.col("date"), F.col("type")
+    return cells.withColumn("bucket", F.when(kind == "hour", F.substring(date, 1, 10)).when(kind == "day", F.substring(date, 1, 7))
+                            .otherwise(F.substring(date, 1, 4)))
+
+
+def table_of(keys) -> str:
+    """Cells of single sources are a table of their own, under the same list as the store's cells."""
+    return "sources" if list(keys) == SOURCE_CELL else ""
 
 
 def read_store(spark: SparkSession, path: str, pairs=None, keys=CELL) -> DataFrame:
     """Every cell, or those of the (type, bucket) ``pairs``: no other folder is listed or read."""
-    return versions.read(spark, path, stored_schema(keys), PARTITIONS, pairs).select(*keys, "value", "bucket")
+    return versions.read(spark, path, stored_schema(keys), PARTITIONS, pairs, table_of(keys)).select(*keys, "value", "bucket")
 
 
 def touched_partitions(cells: DataFrame) -> set[tuple]:
@@ -39,6 +45,7 @@ def touched_partitions(cells: DataFrame) -> set[tuple]:
 
 def merge_into_store(spark: SparkSession, new: DataFrame, path: str, replace: DataFrame | None = None, keys=CELL) -> None:
     """Upsert cells, writing only the partitions they touch, once each. One writer at a time.
+    ``keys`` say which table: those of cells, or of single sources' cells.
 
     Readers see the store before or after. A run that stops on the way has changed nothing,
     and what it left is removed by the next one that touches the same partitions. ``new`` is
@@ -59,7 +66,7 @@ def merge_into_store(spark: SparkSession, new: DataFrame, path: str, replace: Da
         old = null_safe_join(old, gone.select(*CELL), CELL, "left_anti")
     merged = with_bucket(upsert_measurements(old, new, keys)).filter(F.col("value").isNotNull())
     versions.write(merged.select(*stored_schema(keys).names), path, PARTITIONS,
-                   [F.col("date").desc(), *[k for k in keys if k not in ("type", "date")]], pairs)
+                   [F.col("date").desc(), *[k for k in keys if k not in ("type", "date")]], pairs, table_of(keys))
 
 
 def store_offsets(spark: SparkSession, path: str) -> DataFrame:

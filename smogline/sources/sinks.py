@@ -65,12 +65,14 @@ def snapshot_dataset(spark: SparkSession, sources: dict[str, str], root: str, st
         if versions.is_versioned(spark, path):
             if versions.is_versioned(spark, f"{target}/{name}"):
                 raise FileExistsError(f"{target}/{name}")
-            found = versions.parts(spark, path)
-            columns = STORE_FOLDERS[:len(found[0].values)] if found else ()
-            schema = versions.schema_of(spark, path, list(columns))
-            copied = versions.read(spark, path, schema, list(columns))
-            order = [F.col("date").desc()] if "date" in schema.names else []
-            versions.write(copied, f"{target}/{name}", list(columns), order, {p.values for p in found})
+            with versions.change(spark, f"{target}/{name}"):
+                for table in sorted({p.table for p in versions.parts(spark, path, table=None)}):
+                    found = versions.parts(spark, path, table=table)
+                    columns = list(STORE_FOLDERS[:len(found[0].values)])
+                    schema = versions.schema_of(spark, path, columns, table)
+                    copied = versions.read(spark, path, schema, columns, table=table)
+                    order = [F.col("date").desc()] if "date" in schema.names else []
+                    versions.write(copied, f"{target}/{name}", columns, order, {p.values for p in found}, table)
             continue
         found = spark.read.parquet(path).schema
         folders = [c for c in STORE_FOLDERS if c in found.names]

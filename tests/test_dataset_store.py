@@ -131,10 +131,10 @@ def test_store_rewrites_touched_partitions_only(spark, shared):
 
     path = shared("store")
     store.merge_into_store(spark, cells(spark, ("hour", "2026-01-01", "A", 1.0), ("hour", "2026-02-01", "A", 1.0)), path)
-    untouched = set(glob.glob(f"{path}/type=hour/bucket=2026-01/*/*.parquet"))
+    untouched = set(glob.glob(f"{path}/type=hour/bucket=2026-01-01/*/*.parquet"))
     assert untouched
     store.merge_into_store(spark, cells(spark, ("hour", "2026-02-01", "A", 5.0), ("year", "2026", "A", 3.0)), path)
-    assert set(glob.glob(f"{path}/type=hour/bucket=2026-01/*/*.parquet")) == untouched
+    assert set(glob.glob(f"{path}/type=hour/bucket=2026-01-01/*/*.parquet")) == untouched
     assert rows(store.read_store(spark, path), "date", "value") == [("2026", 3.0), ("2026-01-01", 1.0), ("2026-02-01", 5.0)]
 
 
@@ -163,11 +163,11 @@ def test_interrupted_change_has_changed_nothing(spark, shared, monkeypatch):
         with pytest.raises(KeyboardInterrupt):
             store.merge_into_store(spark, new, path)
     assert rows(store.read_store(spark, path), "datasourceId", "value") == [("A", 1.0), ("C", 4.0)]
-    assert len(glob.glob(f"{path}/type=hour/bucket=2026-01/version=*")) == 2
+    assert len(glob.glob(f"{path}/type=hour/bucket=2026-01-01/version=*")) == 2
     store.merge_into_store(spark, new, path)
     store.merge_into_store(spark, new, path)
     assert rows(store.read_store(spark, path), "datasourceId", "value") == [("A", 2.0), ("B", 3.0), ("C", 4.0)]
-    assert len(glob.glob(f"{path}/type=hour/bucket=2026-01/version=*")) == 2  # the last two; the rest is gone
+    assert len(glob.glob(f"{path}/type=hour/bucket=2026-01-01/version=*")) == 2  # the last two; the rest is gone
 
 
 def test_a_second_writer_fails(spark, shared, monkeypatch):

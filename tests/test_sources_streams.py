@@ -7,8 +7,8 @@ from helpers import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smogline.schema import DATASOURCES, SENSOR
-from smogline.sources import boundaries, measurements, sinks
+from smogline.schema import CELL, DATASOURCES, SENSOR, SOURCE_CELL
+from smogline.sources import boundaries, measurements, sinks, versions
 from smogline.streaming import ingest, upsert
 from smogline.plans import store
 from smogline.operators import rollup
@@ -133,7 +133,7 @@ def test_replayed_batch_changes_nothing(spark, shared):
     upsert.upsert_batch(batch, target)
     before = rows(store.read_store(spark, target))
     upsert.upsert_batch(batch, target)
-    assert rows(store.read_store(spark, target)) == before == [("hour", "2026-01-01 05:00:00", "A", 2.0, "2026-01")]
+    assert rows(store.read_store(spark, target)) == before == [("hour", "2026-01-01 05:00:00", "A", 2.0, "2026-01-01")]
 
 
 def test_streamed_metric_equals_a_refreshing_run(spark, shared, folder):
@@ -182,3 +182,100 @@ def test_shared_folder_follows_the_session(spark):
     with pytest.raises(RuntimeError):
         shared_dir(Session("yarn"))
     assert shared_dir(spark) == shared_dir(spark)
+
+
+def files_of(path):
+    import glob
+
+    return {f for f in glob.glob(f"{path}/**", recursive=True) if os.path.isfile(f)}
+
+
+def one_hour(spark, hour, value):
+    readings = spark.createDataFrame([("A", "S", value)], "datasourceId string, sourceId string, v double").withColumn(
+        "ts", F.to_timestamp(F.lit(f"{hour}:10:00")))
+    return rollup.rollup_hour(readings, "ts", "v")
+
+
+def test_a_batch_counts_once_per_stream(spark, shared):
+    """A replay writes no file, also after another writer has changed the cell; another stream's batch counts."""
+    target = shared("store")
+    upsert.upsert_batch(one_hour(spark, "2026-01-01 05", 2.0), target, "s", 0)
+    upsert.upsert_batch(one_hour(spark, "2026-01-01 05", 7.0), target)
+    before = files_of(target)
+    upsert.upsert_batch(one_hour(spark, "2026-01-01 05", 2.0), target, "s", 0)
+    assert files_of(target) == before
+    assert rows(store.read_store(spark, target), "value") == [(7.0,)]
+    upsert.upsert_batch(one_hour(spark, "2026-01-01 06", 3.0), target, "s", 1)
+    upsert.upsert_batch(one_hour(spark, "2026-01-01 05", 4.0), target, "other", 0)
+    assert versions.marks(spark, target) == {"s": 1, "other": 0}
+    assert rows(store.read_store(spark, target), "date", "value") == [("2026-01-01 05:00:00", 4.0), ("2026-01-01 06:00:00", 3.0)]
+
+
+def test_an_empty_batch_is_recorded(spark, shared):
+    target = shared("store")
+    upsert.upsert_batch(one_hour(spark, "2026-01-01 05", 2.0).limit(0), target, "s", 0)
+    assert versions.marks(spark, target) == {"s": 0} and store.read_store(spark, target).isEmpty()
+
+
+def test_a_stream_leaves_its_mark(spark, shared):
+    landing, target, state = shared("landing"), shared("store"), shared("state")
+    for name, hour in (("1.csv", "05"), ("2.csv", "06")):
+        land(spark, landing, name, (f"2026-01-01T{hour}:10:00Z", 1.0))
+        hours = ingest.stream_hourly(ingest.stream_measurements(spark, landing, READING), "ts", "v", "3 hours")
+        query = upsert.stream_upsert(hours, target, state)
+        query.awaitTermination()
+    found = versions.marks(spark, target)
+    assert list(found) == [str(query.id)] and found[str(query.id)] >= 1
+
+
+def test_a_run_stopped_between_two_writes_changes_nothing(spark, shared, monkeypatch):
+    """Hours of sources, days of sources and cells: whichever write is the last one, readers see the state before."""
+    target = shared("store")
+    upsert.upsert_batch(one_hour(spark, "2026-01-01 05", 2.0), target, "s", 0)
+
+    def state():
+        return [rows(store.read_store(spark, target, keys=keys), "type", "date", "value") for keys in (CELL, SOURCE_CELL)] + [
+            rows(store.store_offsets(spark, target)), versions.marks(spark, target)]
+
+    before, plain = state(), versions.write
+    for allowed in range(4):
+        done = []
+
+        def write(*args):
+            if len(done) == allowed:
+                raise KeyboardInterrupt
+            done.append(args)
+            plain(*args)
+
+        with monkeypatch.context() as m:
+            m.setattr(versions, "write", write)
+            if allowed == 3:  # all is written, the list is not
+                m.setattr(versions, "publish", lambda *_: write())
+            with pytest.raises(KeyboardInterrupt):
+                upsert.upsert_batch(one_hour(spark, "2026-01-01 05", 9.0), target, "s", 1)
+        assert state() == before
+    upsert.upsert_batch(one_hour(spark, "2026-01-01 05", 9.0), target, "s", 1)
+    assert rows(store.read_store(spark, target), "value") == [(9.0,)] and versions.marks(spark, target) == {"s": 1}
+
+
+def test_a_batch_rewrites_its_day_of_hours_only(spark, shared):
+    target = shared("store")
+    for hour in ("2026-01-01 05", "2026-01-02 05"):
+        upsert.upsert_batch(one_hour(spark, hour, 2.0), target)
+    before = files_of(f"{target}/type=hour/bucket=2026-01-01") | files_of(f"{target}/_sources/type=hour/bucket=2026-01-01")
+    assert before
+    upsert.upsert_batch(one_hour(spark, "2026-01-02 07", 3.0), target)
+    assert before == files_of(f"{target}/type=hour/bucket=2026-01-01") | files_of(f"{target}/_sources/type=hour/bucket=2026-01-01")
+    assert store.read_store(spark, target).count() == 3
+
+
+def test_headers_of_many_parts(spark, shared):
+    """Parts are grouped by their first lines, without a job each; quoted, empty and folder parts included."""
+    folder = shared("parts")
+    parts = [write(folder, f"{i}.csv{'.gz' * (i % 2)}", f"datasourceId,x.value\nA,{i}\n", packed=i % 2) for i in range(40)]
+    parts += [write(folder, "q.csv", '"datasourceId","x.value"\nB,1\n'), write(folder, "e.csv", "")]
+    write(f"{folder}/inner", "1.csv", "x.value,datasourceId\n5,C\n")
+    groups = measurements.by_header(spark, [*parts, f"{folder}/inner"])
+    assert sorted(map(len, groups)) == [1, 1, 1, 40]
+    df = measurements.read_report_parts(spark, [*parts, f"{folder}/inner"], SCHEMA)
+    assert rows(df.groupBy("datasourceId").agg(F.sum("`x.value`"))) == [("A", 780.0), ("B", 1.0), ("C", 5.0)]
