@@ -51,6 +51,11 @@ def _tokenizer(shared: Broadcast):
     return _WORKER[key]
 
 
+def _give_back() -> None:
+    """Arrow keeps freed memory for itself; a worker waits beside others that need it."""
+    pa.default_memory_pool().release_unused()
+
+
 def splitter(tokenizer) -> Callable[[bytes], list[bytes]]:
     """How a text is cut into words whose ids, one word after the other, are the text's.
 
@@ -140,6 +145,7 @@ def encode_words(words: DataFrame, codec: Codec) -> DataFrame:
             for row in batch.to_pylist():
                 if row["bucket"] != last:
                     last, known = row["bucket"], {}
+                    _give_back()
                 own = pa.decompress(row["words"], decompressed_size=row["size"], codec="zstd", asbytes=True).split(b"\n")
                 new = [w for w in own if w not in known]
                 encoded = tokenizer.encode_batch([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
@@ -179,8 +185,10 @@ def encode(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "t
         starts = np.r_[0, np.cumsum(np.concatenate([np.zeros(0, dtype=np.int32), *[unpack(p["sizes"], p["n"]) for p in parts]]))]
         taken = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values)).take(pa.array(place[codes]))
         ends = np.r_[0, np.cumsum(pc.list_value_length(taken).to_numpy())][np.r_[0, np.cumsum(sizes)]]
-        return pa.table({"doc_id": pa.array(ids, pa.int64()),
-                         "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), taken.flatten())})
+        found = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), taken.flatten())
+        del parts, place, values, starts, codes, taken, words, texts
+        _give_back()
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "ids": found})
 
     return texts.groupBy("run").cogroup(known.groupBy("run")).applyInArrow(put_back, "doc_id long, ids array<int>")
 
@@ -202,6 +210,7 @@ def decode(docs: DataFrame, codec: Codec, ids: str = "ids") -> DataFrame:
         there = np.r_[0, np.cumsum(pc.is_valid(flat).to_numpy(zero_copy_only=False))]
         ends = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy())]
         found = pieces.take(flat.drop_null())
+        _give_back()
         return pc.binary_join(pa.ListArray.from_arrays(pa.array(there[ends], pa.int32()), found, mask=pc.is_null(ids)), " ")
 
     return docs.withColumn("decoded", run(docs[ids].cast("array<int>")))
