@@ -7,6 +7,7 @@ import re
 from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from operator import itemgetter
 from zlib import crc32
 
 import numpy as np
@@ -103,7 +104,8 @@ class Codec:
 
 
 def _buckets(words: DataFrame, buckets: int) -> DataFrame:
-    """``words`` (run, word, code) as a row per run and bucket: its words in order, one a line, and their codes.
+    """``words`` (run, word, code) as a row per run and bucket: its words in order of code, one a line, and
+    the steps from code to code.
 
     A word's bucket follows from its bytes, so equal words of all runs have the same one.
     """
@@ -113,10 +115,10 @@ def _buckets(words: DataFrame, buckets: int) -> DataFrame:
 
         def emit() -> Iterator[dict]:
             for bucket, own in found.items():
-                own.sort()
+                own.sort(key=itemgetter(1))  # steps from code to code are small
                 lines = b"\n".join(w for w, _ in own)
                 yield {"bucket": [bucket], "run": [last], "n": [len(own)], "size": [len(lines)],
-                       "words": [pa.compress(lines, codec="zstd", asbytes=True)], "codes": [pack(np.array([c for _, c in own]))]}
+                       "words": [pa.compress(lines, codec="zstd", asbytes=True)], "steps": [pack(np.diff([c for _, c in own], prepend=0))]}
             found.clear()
 
         for batch in batches:
@@ -128,11 +130,11 @@ def _buckets(words: DataFrame, buckets: int) -> DataFrame:
                 held += len(word)
         yield from emit()
 
-    return map_stream(words.select("run", "word", "code"), run, "bucket int, run long, n int, size long, words binary, codes binary")
+    return map_stream(words.select("run", "word", "code"), run, "bucket int, run long, n int, size long, words binary, steps binary")
 
 
 def encode_words(words: DataFrame, codec: Codec) -> DataFrame:
-    """The ids of ``words`` (run, word, code): rows of a run with n codes, how many ids each has, and all ids, packed.
+    """The ids of ``words`` (run, word, code): rows of a run with the steps between n codes, how many ids each has, and all ids, packed.
 
     Equal words of all runs come together in one of the buckets, whose number grows with the
     words, so each different word is encoded once and a bucket's table of words is small.
@@ -152,12 +154,12 @@ def encode_words(words: DataFrame, codec: Codec) -> DataFrame:
                 known.update((w, array(width, e.ids)) for w, e in zip(new, encoded))
                 sizes = np.fromiter((len(known[w]) for w in own), dtype=np.int32, count=len(own))
                 ids = np.frombuffer(b"".join(known[w].tobytes() for w in own), dtype=width)
-                yield {"run": [row["run"]], "n": [row["n"]], "codes": [row["codes"]], "sizes": [pack(sizes)], "n_ids": [len(ids)],
+                yield {"run": [row["run"]], "n": [row["n"]], "steps": [row["steps"]], "sizes": [pack(sizes)], "n_ids": [len(ids)],
                        "ids": [pack(ids)]}
 
     buckets = max(LEAST_BUCKETS, words.count() // BUCKET_WORDS)
     together = _buckets(words, buckets).repartition("bucket").sortWithinPartitions("bucket")
-    return map_stream(together, run, "run long, n int, codes binary, sizes binary, n_ids long, ids binary")
+    return map_stream(together, run, "run long, n int, steps binary, sizes binary, n_ids long, ids binary")
 
 
 def encode(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "text", run_bytes: int = RUN_BYTES) -> DataFrame:
@@ -180,7 +182,7 @@ def encode(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "t
         parts = words.to_pylist()
         place = np.empty(sum(p["n"] for p in parts), dtype=np.int64)
         if parts:
-            place[np.concatenate([unpack(p["codes"], p["n"]) for p in parts])] = np.arange(len(place))
+            place[np.concatenate([np.cumsum(unpack(p["steps"], p["n"])) for p in parts])] = np.arange(len(place))
         values = np.concatenate([np.zeros(0, dtype=np.int32), *[unpack(p["ids"], p["n_ids"]) for p in parts]])
         starts = np.r_[0, np.cumsum(np.concatenate([np.zeros(0, dtype=np.int32), *[unpack(p["sizes"], p["n"]) for p in parts]]))]
         taken = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values)).take(pa.array(place[codes]))

@@ -64,7 +64,7 @@ def coded(rows: DataFrame, split: Callable[[bytes], list[bytes]], run_bytes: int
             rank = np.empty(len(times), dtype=np.int32)  # frequent words have small codes
             rank[np.argsort(-times, kind="stable")] = np.arange(len(times))
             for space, own in words.items():
-                entries = iter(own.items())
+                entries = iter(sorted(own.items(), key=lambda e: rank[e[1]]))  # codes in order take little room
                 while some := list(islice(entries, SLICE)):
                     known = np.array([c for _, c in some])
                     yield {"run": [run] * len(some), "space": [space] * len(some), "word": [w for w, _ in some], "code": rank[known],
