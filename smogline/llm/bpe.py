@@ -28,6 +28,8 @@ MARK = re.compile(rb"(?<=[A-Za-z])[.,;:!?]")
 BUCKET_WORDS = 1 << 16
 LEAST_BUCKETS = 8
 HELD_BYTES = 64 << 20
+#: Ids are put back for texts of about so many words at once.
+SOME_WORDS = 1 << 18
 _WORKER: dict = {}
 
 
@@ -180,17 +182,29 @@ def encode(docs: DataFrame, codec: Codec, doc_id: str = "doc_id", text: str = "t
     def put_back(texts: pa.Table, words: pa.Table) -> pa.Table:
         ids, sizes, codes = texts_of(texts)
         parts = words.to_pylist()
-        place = np.empty(sum(p["n"] for p in parts), dtype=np.int64)
-        if parts:
-            place[np.concatenate([np.cumsum(unpack(p["steps"], p["n"])) for p in parts])] = np.arange(len(place))
-        values = np.concatenate([np.zeros(0, dtype=np.int32), *[unpack(p["ids"], p["n_ids"]) for p in parts]])
-        starts = np.r_[0, np.cumsum(np.concatenate([np.zeros(0, dtype=np.int32), *[unpack(p["sizes"], p["n"]) for p in parts]]))]
-        taken = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values)).take(pa.array(place[codes]))
-        ends = np.r_[0, np.cumsum(pc.list_value_length(taken).to_numpy())][np.r_[0, np.cumsum(sizes)]]
-        found = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), taken.flatten())
-        del parts, place, values, starts, codes, taken, words, texts
+        del texts, words
+        place = np.empty(sum(p["n"] for p in parts), dtype=np.int32)
+        lengths, values, done = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int32)], 0
+        for p in parts:
+            place[np.cumsum(unpack(p.pop("steps"), p["n"]))] = np.arange(done, done + p["n"], dtype=np.int32)
+            lengths.append(unpack(p.pop("sizes"), p["n"]))
+            values.append(unpack(p.pop("ids"), p["n_ids"]))
+            done += p["n"]
+        starts = np.r_[0, np.cumsum(np.concatenate(lengths))].astype(np.int32)
+        known = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate(values)))
+        del parts, lengths, values, starts
+        ends, found, start = np.cumsum(sizes), [], 0
+        while start < len(ids):  # some texts at a time: all but the ids themselves stays small
+            first = int(ends[start] - sizes[start])
+            end = max(start + 1, int(np.searchsorted(ends, first + SOME_WORDS, side="right")))
+            taken = known.take(pa.array(place[codes[first:ends[end - 1]]]))
+            stops = np.r_[0, np.cumsum(pc.list_value_length(taken).to_numpy())][np.r_[0, ends[start:end] - first]]
+            found.append(pa.ListArray.from_arrays(pa.array(stops, pa.int32()), taken.flatten()))
+            del taken, stops
+            start = end
+        del place, codes, known
         _give_back()
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "ids": found})
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "ids": pa.chunked_array(found, pa.list_(pa.int32()))})
 
     return texts.groupBy("run").cogroup(known.groupBy("run")).applyInArrow(put_back, "doc_id long, ids array<int>")
 

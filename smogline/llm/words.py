@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import count, islice
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -59,17 +59,24 @@ def coded(rows: DataFrame, split: Callable[[bytes], list[bytes]], run_bytes: int
         ids, parts, next_code = [], [], count()
 
         def emit() -> Iterator[dict]:
+            sizes = [len(p) for p in parts]
             run, codes = next(numbers), np.concatenate(parts)
+            parts.clear()
             times = np.bincount(codes)
             rank = np.empty(len(times), dtype=np.int32)  # frequent words have small codes
             rank[np.argsort(-times, kind="stable")] = np.arange(len(times))
+            packed = pack(rank[codes])
+            del codes
             for space, own in words.items():
-                entries = iter(sorted(own.items(), key=lambda e: rank[e[1]]))  # codes in order take little room
-                while some := list(islice(entries, SLICE)):
-                    known = np.array([c for _, c in some])
-                    yield {"run": [run] * len(some), "space": [space] * len(some), "word": [w for w, _ in some], "code": rank[known],
-                           "n": times[known], **dict.fromkeys(("ids", "sizes", "codes"), [None] * len(some))}
-            yield {"run": [run], "ids": [ids], "sizes": [[len(p) for p in parts]], "codes": [pack(rank[codes])],
+                names, known = list(own), np.fromiter(own.values(), dtype=np.int32, count=len(own))
+                own.clear()
+                order = np.argsort(rank[known])  # codes in order take little room
+                for start in range(0, len(order), SLICE):
+                    some = order[start:start + SLICE]
+                    yield {"run": [run] * len(some), "space": [space] * len(some), "word": [names[i] for i in some], "code": rank[known[some]],
+                           "n": times[known[some]], **dict.fromkeys(("ids", "sizes", "codes"), [None] * len(some))}
+                del names
+            yield {"run": [run], "ids": [ids], "sizes": [sizes], "codes": [packed],
                    **dict.fromkeys(("space", "word", "code", "n"), [None])}
 
         for batch in batches:

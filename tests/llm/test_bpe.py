@@ -67,3 +67,12 @@ def test_query_against_the_tokenizer(spark, tokenizer):
     for r in source:
         ids, text = plain(tokenizer, r["text"])
         assert got[r["doc_id"]] == (len(ids), *[hashlib.sha256(s.encode("utf-8")).hexdigest() for s in (" ".join(map(str, ids)), text)])
+
+
+def test_ids_are_put_back_a_few_texts_at_a_time(spark, tokenizer, codec, monkeypatch):
+    """No array of a run's words may be whole but its codes: the pieces join up, empty and long texts among them."""
+    assert bpe.SOME_WORDS < bpe.RUN_BYTES >> 5
+    monkeypatch.setattr(bpe, "SOME_WORDS", 3)
+    texts = ["", "a b", None, "c d e f g h", " ", "i", "j", "k l m", "", *HARD, "", None]
+    got = {r["doc_id"]: list(r["ids"]) for r in bpe.encode(docs(spark, texts), codec).collect()}
+    assert got == {i: plain(tokenizer, t)[0] for i, t in enumerate(texts)}
