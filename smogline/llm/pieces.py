@@ -28,6 +28,7 @@ SEED = 42
 #: A character without a piece stands in a sampled sequence as this plus its code point.
 LOOSE = 1 << 24
 PART_CHARS = 1 << 20
+WIDE_PARTS = 4
 DENSE = 6
 SEGMENT = re.compile(r" *[^ \n]+|\n| +")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -175,22 +176,23 @@ class Lattice:
             slot[at] += 1
         loose = piece >= LOOSE
         weight = self.alpha * np.where(loose, self.pieces.weights.min() * 2, self.pieces.weights[np.where(loose, 0, piece)])
-        first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-        owner = np.cumsum(np.r_[True, node[1:] != node[:-1]]) - 1
-        whole = np.where(length > place[node], 0.0, np.nan)  # pieces from the segment's start
+        fresh = np.r_[True, node[1:] != node[:-1]]
+        first, owner = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+        at_place = place[node]
+        inner = length <= at_place  # pieces that do not begin at the segment's start
+        origin = np.where(inner, node - length, 0)
         forward, share = np.zeros(len(codes)), np.empty(len(node))
-        steps = np.flatnonzero(np.r_[True, np.diff(place[node]) != 0])
+        steps = np.flatnonzero(np.r_[True, at_place[1:] != at_place[:-1]])
         for begin, end in zip(steps, np.r_[steps[1:], len(node)]):
             own = slice(begin, end)
-            before = np.where(np.isnan(whole[own]), forward[np.maximum(node[own] - length[own], 0)], 0.0)
-            total = before + weight[own]
+            total = np.where(inner[own], forward[origin[own]], 0.0) + weight[own]
             groups = first[owner[begin]:owner[end - 1] + 1] - begin
             counts = np.diff(np.r_[groups, end - begin])
             top = np.maximum.reduceat(total, groups)
-            share[own] = np.exp(total - np.repeat(top, counts))
-            sums = np.add.reduceat(share[own], groups)
+            part = np.exp(total - np.repeat(top, counts))
+            sums = np.add.reduceat(part, groups)
             forward[node[begin:end][groups]] = top + np.log(sums)
-            share[own] /= np.repeat(sums, counts)
+            share[own] = part / np.repeat(sums, counts)
         self.length, self.piece = length, piece
         rank = np.arange(len(share)) - np.repeat(first, np.diff(np.r_[first, len(share)]))
         bound, summed = share.copy(), share
@@ -242,9 +244,12 @@ class Lattice:
         ends = np.cumsum(np.fromiter(map(len, segments), dtype=np.int64, count=len(segments)))
         start = 0
         while start < len(segments):  # segments do not depend on each other: a part of them at a time
-            end = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + PART_CHARS)))
-            known: defaultdict[str, int] = defaultdict(count().__next__)
-            kinds = np.fromiter(map(known.__getitem__, segments[start:end]), dtype=np.int64, count=end - start)
+            for width in (WIDE_PARTS * PART_CHARS, PART_CHARS):  # the wide part, unless its different segments are long
+                end = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + width)))
+                known: defaultdict[str, int] = defaultdict(count().__next__)
+                kinds = np.fromiter(map(known.__getitem__, segments[start:end]), dtype=np.int64, count=end - start)
+                if sum(map(len, known)) <= PART_CHARS:
+                    break
             self.build(list(known))
             drawn, numbers = self.sample(kinds, keys[start:end])
             values.append(drawn)

@@ -116,3 +116,16 @@ def test_columns(spark):
     assert all(again[(r["doc_id"], r["text"])] == r["ids"] for r in rows)
     assert all((r["ids"] is None) == (r["text"] is None) for r in rows)
     assert P.encode(docs(spark, []), codec).count() == 0
+
+
+def test_segments_met_again_are_built_once(lattice, monkeypatch):
+    """A wide part shares its lattices; one with many different segments is still cut as narrow as before."""
+    built, build = [], lattice.build
+    monkeypatch.setattr(P, "PART_CHARS", 60)
+    monkeypatch.setattr(lattice, "build", lambda segments: (built.append(sum(map(len, segments))), build(segments)))
+    keys = np.arange(4, dtype=np.uint64)
+    lattice.encode(["one two three four five six"] * 4, keys)
+    assert len(built) == 1
+    built.clear()
+    lattice.encode([" ".join(f"{i}x{j}y" for j in range(12)) for i in range(4)], keys)
+    assert len(built) > 2 and max(built) <= 60
