@@ -19,7 +19,7 @@ def word_count(text: Column) -> Column:
 
 
 def source_key(source: Column) -> Column:
-    """A key that is never null and keeps the null source apart from the empty one."""
+    """A key that is never null and keeps null apart from the empty string."""
     return F.coalesce(F.concat(F.lit("s"), source), F.lit(""))
 
 
@@ -95,19 +95,16 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     emitted like others of their source. Repeated rows are told apart by a running number,
     so each is taken on its own. An empty table gives an empty mix; all columns are kept.
     """
-    same = ["id", "key", "size", "hash"]
-    taken = copies(sizes_of(docs), weights, most, seed).filter("copies > 0").select(*same, "copies")
+    # ids get a key that is never null: a null-safe join would not keep the dealing that the window needs as well,
+    # and the texts would be dealt twice
+    same = ["_mix_id", "_mix_key", "_mix_size", "_mix_hash"]
+    planned = copies(sizes_of(docs), weights, most, seed).filter("copies > 0").withColumn("id", source_key(F.col("id")))
+    taken = planned.select(*[F.col(c.removeprefix("_mix_")).alias(c) for c in same], "copies")
     # the copies of identical rows are listed, largest first, and dealt to the rows in turn
-    dealt = taken.groupBy(*same).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("dealt"))
-    mine = {"id": F.col("doc_id"), "key": source_key(F.col("source")), "size": word_count(F.col("text")),
-            "hash": F.xxhash64("text")}
-    dealt = dealt.withColumnsRenamed({c: f"_mix_{c}" for c in [*same, "dealt"]})
-    keyed = docs.withColumns({f"_row_{c}": e for c, e in mine.items()})
-    match = F.col("_row_id").eqNullSafe(F.col("_mix_id"))
-    for c in same[1:]:
-        match = match & (F.col(f"_row_{c}") == F.col(f"_mix_{c}"))
-    turn = F.row_number().over(W.partitionBy(*[f"_row_{c}" for c in same]).orderBy("_row_hash"))
+    dealt = taken.groupBy(*same).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_mix_dealt"))
+    mine = [source_key(F.col("doc_id")), source_key(F.col("source")), word_count(F.col("text")), F.xxhash64("text")]
+    joined = docs.withColumns(dict(zip(same, mine))).join(dealt, same)
+    turn = F.row_number().over(W.partitionBy(*same).orderBy("_mix_hash"))
     n = F.try_element_at(F.col("_mix_dealt"), F.col("_turn"))
-    joined = keyed.join(dealt, match)
     return (joined.withColumn("_turn", turn).withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.coalesce(n, F.lit(0)).cast("int"))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -1,4 +1,5 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -67,3 +68,16 @@ def test_mix_of_awkward_rows(spark):
 def test_empty(spark):
     assert mixing.mix(docs(spark, [])).count() == 0
     assert {r["copies"] for r in mixing.copies(mixing.sizes_of(docs(spark, ["", None, " "]))).collect()} == {0}
+
+
+def test_texts_are_dealt_once(spark):
+    """Joined to their copies, the rows already lie as the window over repeated rows needs them."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = mixing.mix(docs(spark, AWKWARD * 2, [None, *range(1, len(AWKWARD))] * 2))._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    dealt = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert len(dealt) > 1 and sum("text#" in columns for columns in dealt) == 1
