@@ -317,6 +317,19 @@ class Codec:
 
         return run(ids)
 
+    def round_trip(self, key: Column, text: Column) -> Column:
+        """A struct of ``ids`` as from :meth:`encode` and ``decoded``, which is read from these very ids."""
+        shared, alpha, seed = self.shared, self.alpha, self.seed
+
+        @arrow_udf("struct<ids: array<int>, decoded: string>")
+        def run(keys: pa.Array, texts: pa.Array) -> pa.Array:
+            states = keys.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            lattice = _lattice(shared, alpha)
+            ids = lattice.encode(texts.to_pylist(), states, seed)
+            return pa.StructArray.from_arrays([ids, pa.array(decode_lists(lattice.pieces, ids), pa.string())], ["ids", "decoded"])
+
+        return run(F.xxhash64(key), text)
+
 
 def encode(docs: DataFrame, codec: Codec, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``ids``, which replaces a column of that name.
@@ -330,3 +343,13 @@ def encode(docs: DataFrame, codec: Codec, key: str = "doc_id", text: str = "text
 def decode(docs: DataFrame, codec: Codec, ids: str = "ids") -> DataFrame:
     """``docs`` with ``decoded``, equal to the text that was encoded, character by character."""
     return docs.withColumn("decoded", codec.decode(docs[ids]))
+
+
+def round_trip(docs: DataFrame, codec: Codec, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` and ``decoded``, as :func:`encode` and then :func:`decode` give them.
+
+    Those two in one plan encode every text twice, as Spark puts the first call into the second
+    and keeps it for the ids as well; here a text is encoded once.
+    """
+    done = codec.round_trip(docs[key], docs[text])
+    return docs.withColumn("_done", done).withColumns({"ids": F.col("_done.ids"), "decoded": F.col("_done.decoded")}).drop("_done")

@@ -30,8 +30,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts cut into sampled pieces and put together again."""
-    codec = pieces.Codec(spark)
-    done = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), codec), codec)
+    done = pieces.round_trip(table(spark, sf_dir, "documents"), pieces.Codec(spark))
     return done.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.sha2("decoded", 256).alias("decoded_sha256"),
                        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 

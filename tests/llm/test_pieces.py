@@ -129,3 +129,20 @@ def test_segments_met_again_are_built_once(lattice, monkeypatch):
     built.clear()
     lattice.encode([" ".join(f"{i}x{j}y" for j in range(12)) for i in range(4)], keys)
     assert len(built) > 2 and max(built) <= 60
+
+
+def test_round_trip_encodes_once(spark):
+    """The query evaluates one function over the texts, not one for the ids and one more for what is decoded."""
+    from smogline.llm.queries import op3_sentencepiece
+
+    plan = op3_sentencepiece(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("run(") == 1
+
+
+def test_round_trip_as_both(spark):
+    codec = P.Codec(spark)
+    frame = docs(spark, AWKWARD * 2, [None, *range(1, len(AWKWARD))] * 2)
+    once, both = P.round_trip(frame, codec), P.decode(P.encode(frame, codec), codec)
+    assert once.columns == both.columns and once.dtypes == both.dtypes
+    assert sorted(map(str, once.collect())) == sorted(map(str, both.collect()))
+    assert P.round_trip(docs(spark, []), codec).count() == 0
