@@ -140,10 +140,12 @@ class Lattice:
 
     def build(self, segments: list[str]) -> None:
         """Filter forward: for every position the weight of its prefix, and each incoming piece's share of it."""
+        self.first = self.length = self.piece = self.bound = self.place = None  # the last part's arrays go before new ones come
         codes = np.frombuffer("".join(segments).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+        index = np.int32 if len(codes) * self.longest < 1 << 31 else np.int64  # a worker's memory is mostly lists of edges
         lengths = np.fromiter(map(len, segments), dtype=np.int64, count=len(segments))
         self.ends = np.cumsum(lengths) - 1  # node v is the position after character v
-        place = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        place = (np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(index)
         mixed, hashes = (codes + 1).astype(np.uint64), np.zeros(len(codes), dtype=np.uint64)
         found: list[tuple[np.ndarray, np.ndarray]] = []  # by length, the nodes where a piece ends, and the pieces
         for n in range(min(self.longest, len(codes))):
@@ -158,30 +160,33 @@ class Lattice:
                 at = long[self.maybe[hashes[long] >> np.uint64(44)]]
             known, piece = self._known(hashes[at])
             if n == 0:  # every character can stand alone
-                found.append((at, np.where(known, piece, LOOSE + codes)))
+                found.append((at.astype(index), np.where(known, piece, LOOSE + codes).astype(index)))
             else:
-                found.append((at[known], piece[known]))
+                found.append((at[known].astype(index), piece[known].astype(index)))
+        del codes, mixed, hashes, at, known, piece
         # Listed by position in the segment, then node, then length: all segments move on together.
-        many = np.zeros(len(codes), dtype=np.int64)
+        many = np.zeros(len(place), dtype=index)
         for at, _ in found:
             many[at] += 1
         by_place = np.argsort(place.astype(np.uint16) if place.max() < 1 << 16 else place, kind="stable")
-        begins = np.empty(len(codes), dtype=np.int64)
+        begins = np.empty(len(place), dtype=index)
         begins[by_place] = np.cumsum(many[by_place]) - many[by_place]
         self.first, slot = begins, begins.copy()
-        node, length, piece = (np.empty(int(many.sum()), dtype=np.int64) for _ in range(3))
+        node, length, piece = (np.empty(int(many.sum()), dtype=index) for _ in range(3))
         for n, (at, own) in enumerate(found):
             into = slot[at]
             node[into], length[into], piece[into] = at, n + 1, own
             slot[at] += 1
+        del found, at, own, into, many, by_place, slot
         loose = piece >= LOOSE
         weight = self.alpha * np.where(loose, self.pieces.weights.min() * 2, self.pieces.weights[np.where(loose, 0, piece)])
         fresh = np.r_[True, node[1:] != node[:-1]]
-        first, owner = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+        first, owner = np.flatnonzero(fresh), np.cumsum(fresh, dtype=index) - 1
         at_place = place[node]
         inner = length <= at_place  # pieces that do not begin at the segment's start
         origin = np.where(inner, node - length, 0)
-        forward, share = np.zeros(len(codes)), np.empty(len(node))
+        del loose, fresh
+        forward, share = np.zeros(len(place)), np.empty(len(node))
         steps = np.flatnonzero(np.r_[True, at_place[1:] != at_place[:-1]])
         for begin, end in zip(steps, np.r_[steps[1:], len(node)]):
             own = slice(begin, end)
@@ -193,8 +198,9 @@ class Lattice:
             sums = np.add.reduceat(part, groups)
             forward[node[begin:end][groups]] = top + np.log(sums)
             share[own] = part / np.repeat(sums, counts)
+        del node, weight, owner, at_place, inner, origin, forward, total, part, sums
         self.length, self.piece = length, piece
-        rank = np.arange(len(share)) - np.repeat(first, np.diff(np.r_[first, len(share)]))
+        rank = (np.arange(len(share)) - np.repeat(first, np.diff(np.r_[first, len(share)]))).astype(index)
         bound, summed = share.copy(), share
         later, n = np.flatnonzero(rank), 1
         while len(later):  # running sums node by node, the same in every batch

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -146,3 +147,15 @@ def test_round_trip_as_both(spark):
     assert once.columns == both.columns and once.dtypes == both.dtypes
     assert sorted(map(str, once.collect())) == sorted(map(str, both.collect()))
     assert P.round_trip(docs(spark, []), codec).count() == 0
+
+
+def test_memory_of_a_part(lattice):
+    """Two workers of an executor each hold the edges of a part: few bytes an edge while it is built, fewer when it is done."""
+    segments = [f" word{i} internationalisation{i}" for i in range(20_000)]
+    tracemalloc.start()
+    try:
+        lattice.build(segments)
+        kept, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert kept < 30 * len(lattice.piece) and peak < 95 * len(lattice.piece), (kept / len(lattice.piece), peak / len(lattice.piece))
