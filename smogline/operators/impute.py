@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from smogline.functions.geo import sensor_key
 from smogline.functions.values import present, quoted, rel_diff
-from smogline.operators.joins import lookup_join, null_safe_join
+from smogline.operators.joins import long_side, lookup_join, null_safe_join
 from smogline.operators.quality import drop_missing, missing_rate
 from smogline.operators.series import SEGMENT_ROWS, Series, null_pieces, null_rows, place_rows, stitch_pieces
 from smogline.operators.spatial import distinct_sensors, nearest_neighbors, neighbor_lists
@@ -142,6 +142,8 @@ def fill_single_gaps(series: Series, col: str, threshold: float = THRESHOLD, mod
     if mode not in ("exact", "window"):
         raise ValueError(f"unknown mode {mode!r}")
     keys, columns = series.keys, series.df.columns
+    if series.split and mode == "exact":  # read twice below; the places of a long series are costly
+        series = series.with_df(cut(series.df))
     framed, window = series.framed(REACH + 1)
     value = present(col)
     gaps = _gap_table(framed, window, value, threshold).filter("_core").drop("_core")
@@ -155,14 +157,16 @@ def fill_single_gaps(series: Series, col: str, threshold: float = THRESHOLD, mod
         return series.with_df(done(gaps, at_start))
     alone = done(gaps.filter("not _linked"), at_start)
     linked = gaps.filter("_linked")
+    if series.split:  # few, but read three times
+        linked = cut(linked)
     walked = _follow_tables(linked, keys)
     if series.split:
-        walked = null_safe_join(walked, _segment_starts(walked, keys), [*keys, "_seg"])
+        walked = null_safe_join(walked, long_side(_segment_starts(walked, keys)), [*keys, "_seg"])
         filled = F.expr("(shiftright(_outcome, _start) & 1) = 1")
     else:
         filled = F.col("_outcome").bitwiseAND(1) == 1
     decided = walked.select(*keys, "_seg", "_pos", F.coalesce(filled, F.lit(False)).alias("_filled"))
-    linked = null_safe_join(linked, decided, [*keys, "_seg", "_pos"])
+    linked = null_safe_join(linked, long_side(decided), [*keys, "_seg", "_pos"])
     return series.with_df(alone.unionByName(done(linked, F.col("_filled"))))
 
 
@@ -176,14 +180,15 @@ def neighbor_means(rows: DataFrame, neighbors: DataFrame, values: DataFrame, ts:
     neighbour value are absent.
     """
     lists = neighbor_lists(neighbors).withColumnRenamed("key1", "key")
-    wanted = (lookup_join(rows.select("key", quoted(ts).alias("_at"), *row_id), lists, ["key"], "inner")
-              .select(*row_id, "_at", F.explode("neighbors").alias("_other")))
+    # An outer join, as in an inner one the rows might be broadcast; a null ``_other`` matches nothing.
+    wanted = (lookup_join(rows.select("key", quoted(ts).alias("_at"), *row_id), lists, ["key"], "left")
+              .select(*row_id, "_at", F.explode_outer("neighbors").alias("_other")))
     sums = (values.filter(present(col).isNotNull())
             .select(F.col("key").alias("_other"), quoted(ts).alias("_at"), quoted(col))
-            .join(wanted.select("_other", "_at").distinct(), ["_other", "_at"], "left_semi")
+            .join(long_side(wanted.select("_other", "_at").distinct()), ["_other", "_at"], "left_semi")
             .groupBy("_other", "_at")
             .agg(F.sum(quoted(col)).alias("_sum"), F.count("*").alias("_cnt")))
-    return (wanted.join(sums, ["_other", "_at"]).groupBy(*row_id)
+    return (wanted.join(long_side(sums), ["_other", "_at"]).groupBy(*row_id)
             .agg((F.sum("_sum") / F.sum("_cnt")).alias("nb_mean")))
 
 
@@ -205,7 +210,7 @@ def fill_gap_chunks(series: Series, neighbors: DataFrame, col: str, threshold: f
     gaps = cut(null_rows(series, col, beside_null=True).withColumn("key", sensor_key(keys))
                .withColumn("_gap_id", F.monotonically_increasing_id()))
     means = neighbor_means(gaps, neighbors, series.df.withColumn("key", sensor_key(keys)), ts, col, ["_gap_id"])
-    filled = gaps.join(means, "_gap_id", "left")
+    filled = gaps.join(long_side(means), "_gap_id", "left")
     close = _finite(F.col("_edge")) & _finite(F.col("_level")) & (rel_diff("_edge", "_level") <= threshold)
     if not series.split:  # a run lies in one segment, whose rows are bounded
         run = Window.partitionBy(*keys, "_seg", "_piece")
@@ -213,15 +218,15 @@ def fill_gap_chunks(series: Series, neighbors: DataFrame, col: str, threshold: f
                   .withColumn("_edge", F.coalesce(F.min_by("_before", "_pos").over(run), F.max_by("_after", "_pos").over(run)))
                   .withColumn("_ok", close))
     else:
-        pieces = stitch_pieces(series, null_pieces(series, gaps))
+        pieces = cut(stitch_pieces(series, null_pieces(series, gaps)))
         edges = pieces.groupBy(*keys, "run").agg(
             F.coalesce(F.min_by("edge_before", "start"), F.max_by("edge_after", "start")).alias("_edge"))
-        filled = null_safe_join(filled, pieces.select(*keys, "_seg", "_piece", "run"), [*keys, "_seg", "_piece"], "left")
+        filled = cut(null_safe_join(filled, long_side(pieces.select(*keys, "_seg", "_piece", "run")), [*keys, "_seg", "_piece"], "left"))
         levels = filled.groupBy(*keys, "run").agg(F.avg("nb_mean").alias("_level"))
-        good = null_safe_join(levels, edges, [*keys, "run"]).filter(close)
-        good = null_safe_join(pieces, good.select(*keys, "run"), [*keys, "run"], "left_semi").select(
+        good = null_safe_join(levels, long_side(edges), [*keys, "run"]).filter(close)
+        good = null_safe_join(pieces, long_side(good.select(*keys, "run")), [*keys, "run"], "left_semi").select(
             *keys, "_seg", "_piece", F.lit(True).alias("_ok"))
-        filled = null_safe_join(filled, good, [*keys, "_seg", "_piece"], "left")
+        filled = null_safe_join(filled, long_side(good), [*keys, "_seg", "_piece"], "left")
     filled = filled.withColumn(col, F.when(F.col("_ok"), F.col("nb_mean"))).select(
         *[quoted(c) for c in columns])
     return series.with_df(kept.unionByName(filled))

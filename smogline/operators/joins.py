@@ -26,6 +26,16 @@ def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "le
     return left.join(right, on, how)
 
 
+def long_side(df: DataFrame) -> DataFrame:
+    """A side of a join whose rows grow with the readings, as those of the other side do.
+
+    Neither side is then broadcast. Spark takes a table read from files to be as large as the
+    files, which for compressed readings can be a hundredth of what their rows take on the driver,
+    and adaptive execution does not take such a broadcast back where that costs a shuffle.
+    """
+    return df.hint("merge")
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Equi-join in which a null key matches a null key; the result has the keys of ``left``."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in on})

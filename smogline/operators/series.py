@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from smogline.functions.values import present, quoted
-from smogline.operators.joins import content_hash, null_safe_join
+from smogline.operators.joins import content_hash, long_side, null_safe_join
 from smogline.schema import SENSOR
 
 SEGMENT_ROWS = 500_000
@@ -100,11 +100,11 @@ def place_rows(df: DataFrame, ts: str, keys=SENSOR, tie=(), segment_rows: int =
         F.sum("_gn").over(Window.partitionBy(*keys).orderBy("_group").rowsBetween(*before)), F.lit(0)))
     counts = counts.withColumn("_within", F.coalesce(
         F.sum("_n").over(Window.partitionBy(*keys, "_group").orderBy("_block").rowsBetween(*before)), F.lit(0)))
-    shifts = null_safe_join(counts, groups, [*keys, "_group"]).select(
+    shifts = null_safe_join(counts, long_side(groups), [*keys, "_group"]).select(
         *keys, "_block", (F.col("_within") + F.col("_skip")).alias("_shift"))
     rows = rows.withColumn("_rn", F.row_number().over(
         Window.partitionBy(*keys, "_block").orderBy(*order)).cast("bigint"))
-    placed = null_safe_join(rows, shifts, [*keys, "_block"]).select(
+    placed = null_safe_join(rows, long_side(shifts), [*keys, "_block"]).select(
         *[quoted(c) for c in df.columns], (F.col("_shift") + F.col("_rn") - 1).alias("_pos"))
     placed = placed.withColumn("_seg", F.floor(F.col("_pos") / segment_rows).cast("bigint"))
     return Series(placed, ts, keys, (F.col("_pos").asc(),), segment_rows)
